@@ -1,0 +1 @@
+"""Intentionally empty: every input of this domain is a bounded table, so there is no stream operator."""
