@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from cellcast import fixed
 from cellcast.functions import geo
 
 _CTES: dict[str, str] = {}
@@ -197,3 +198,133 @@ FROM dense d LEFT JOIN weather USING (date) LEFT JOIN holiday_dates h ON h.date
 WINDOW w AS (PARTITION BY d.grid_id ORDER BY d.date)
 """)
 cte("model", "SELECT * EXCLUDE target_available FROM cell_days WHERE target_available = 1")
+
+# --- split, hotspot, fixed scores --------------------------------------------------------
+cte("date_rank", "SELECT date, row_number() OVER (ORDER BY date) AS rn, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM model)")
+cte("split", """
+SELECT m.*, CASE WHEN rn <= CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT) THEN 'train' ELSE 'test' END AS split
+FROM model m JOIN date_rank USING (date)
+""")
+cte("train", "SELECT * EXCLUDE split FROM split WHERE split = 'train'")
+cte("test", "SELECT * EXCLUDE split FROM split WHERE split = 'test'")
+cte("totals", """
+SELECT s.grid_id, s.incident_count, lat_center, lon_center
+FROM (SELECT grid_id, CAST(sum(incident_count) AS BIGINT) AS incident_count FROM train GROUP BY grid_id) s JOIN centroids USING (grid_id)
+""")
+cte("kde_moments", """
+SELECT n, n ** (CAST(-1 AS DOUBLE) / 3) * sum(w * (lat - mlat) * (lat - mlat)) / (n - 1) AS uu,
+  n ** (CAST(-1 AS DOUBLE) / 3) * sum(w * (lat - mlat) * (lon - mlon)) / (n - 1) AS uv,
+  n ** (CAST(-1 AS DOUBLE) / 3) * sum(w * (lon - mlon) * (lon - mlon)) / (n - 1) AS vv
+FROM (SELECT lat_center AS lat, lon_center AS lon, CAST(incident_count AS DOUBLE) AS w FROM totals WHERE incident_count > 0)
+CROSS JOIN (SELECT CAST(sum(incident_count) AS DOUBLE) AS n, sum(incident_count * lat_center) / sum(incident_count) AS mlat,
+  sum(incident_count * lon_center) / sum(incident_count) AS mlon FROM totals)
+GROUP BY n
+""")
+cte("kde", """
+SELECT c.grid_id, sum(t.incident_count * exp(-0.5 * (vv * (c.lat_center - t.lat_center) ** 2
+    - 2 * uv * (c.lat_center - t.lat_center) * (c.lon_center - t.lon_center)
+    + uu * (c.lon_center - t.lon_center) ** 2) / (uu * vv - uv * uv))) / (max(n) * 2 * pi() * sqrt(max(uu * vv - uv * uv))) AS density
+FROM centroids c CROSS JOIN (SELECT * FROM totals WHERE incident_count > 0) t CROSS JOIN kde_moments
+GROUP BY c.grid_id
+""")
+cte("hotspot", "SELECT grid_id, (density - min(density) OVER ()) / (max(density) OVER () - min(density) OVER () + 1e-12) AS score FROM kde")
+cte("thresholds", "SELECT CAST(i AS INTEGER) AS i, CAST(0.01 AS DOUBLE) + i * CAST(0.01 AS DOUBLE) AS t FROM range(0, 98) AS r(i)")
+
+
+def best_threshold_sql(rows: str, score: str) -> str:
+    return f"""
+SELECT CASE WHEN f1 > 0 THEN t ELSE CAST(0.5 AS DOUBLE) END AS threshold, f1 FROM (
+  SELECT i, t, coalesce(2.0 * tp / nullif(predicted + positives, 0), 0) AS f1 FROM (
+    SELECT i, t, sum(CASE WHEN {score} >= t AND target_next_interval = 1 THEN 1 ELSE 0 END) AS tp,
+      sum(CASE WHEN {score} >= t THEN 1 ELSE 0 END) AS predicted, sum(target_next_interval) AS positives
+    FROM {rows} CROSS JOIN thresholds GROUP BY i, t))
+ORDER BY f1 DESC, i LIMIT 1"""
+
+
+cte("train_hotspot", "SELECT t.*, coalesce(h.score, 0) AS score FROM train t LEFT JOIN hotspot h USING (grid_id)")
+cte("hotspot_limit", best_threshold_sql("train_hotspot", "score"))
+cte("rates", """
+SELECT grid_id, sum(incident_count) / CAST((SELECT count(DISTINCT date) FROM train) AS DOUBLE) AS rate FROM train GROUP BY grid_id
+""")
+cte("activity", """
+SELECT grid_id, CAST(count(*) FILTER (incident_count > 0) AS BIGINT) AS nonzero_days, CAST(sum(incident_count) AS BIGINT) AS total_incidents
+FROM train GROUP BY grid_id
+""")
+cte("active", "SELECT grid_id FROM activity WHERE nonzero_days >= 5 ORDER BY total_incidents DESC, grid_id LIMIT 50")
+cte("scored_raw", """
+SELECT t.*, round(coalesce(h.score, 0), 6) + 0.0 AS hotspot_prob, CAST(coalesce(h.score, 0) >= (SELECT threshold FROM hotspot_limit) AS INTEGER) AS hotspot_pred,
+  round(coalesce(r.rate, 0), 6) + 0.0 AS arima_forecast,
+  round(least(1.0, CAST(0.05 AS DOUBLE) + CAST(0.1 AS DOUBLE) * lag_1 + CAST(0.06 AS DOUBLE) * rolling_sum_7
+    + CAST(0.03 AS DOUBLE) * rolling_sum_14 + CAST(0.02 AS DOUBLE) * is_weekend), 6) + 0.0 AS rf_prob
+FROM test t LEFT JOIN hotspot h USING (grid_id) LEFT JOIN rates r USING (grid_id)
+""")
+cte("scored", """
+SELECT * EXCLUDE rf_prob, round(arima_forecast / (max(arima_forecast) OVER () + 1e-12), 6) + 0.0 AS arima_prob,
+  CAST(arima_forecast >= 0.1 AS INTEGER) AS arima_pred, rf_prob, CAST(rf_prob >= 0.5 AS INTEGER) AS rf_pred
+FROM scored_raw
+""")
+cte("long", "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS \"Model\", target_next_interval AS y, {a} AS pred, {b} AS prob FROM scored"
+    for m, (a, b) in fixed.MODELS.items()))
+cte("confusion", """
+SELECT "Model", CAST(count(*) FILTER (y = 0 AND pred = 0) AS BIGINT) AS tn, CAST(count(*) FILTER (y = 0 AND pred = 1) AS BIGINT) AS fp,
+  CAST(count(*) FILTER (y = 1 AND pred = 0) AS BIGINT) AS fn, CAST(count(*) FILTER (y = 1 AND pred = 1) AS BIGINT) AS tp
+FROM long GROUP BY "Model"
+""")
+cte("metrics", """
+SELECT "Model", CAST((tp + tn) AS DOUBLE) / (tp + tn + fp + fn) AS "Accuracy", coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS "Precision",
+  coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS "Recall", coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS "F1-Score" FROM confusion
+""")
+cte("steps", """
+SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg,
+  row_number() OVER w AS rn, sum(pos) OVER (PARTITION BY "Model") AS p, sum(neg) OVER (PARTITION BY "Model") AS n
+FROM (SELECT "Model", prob, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg FROM long GROUP BY "Model", prob)
+WINDOW w AS (PARTITION BY "Model" ORDER BY prob DESC)
+""")
+cte("areas", """
+SELECT "Model", sum(neg * (cum_pos - pos / 2)) / nullif(max(p) * max(n), 0) AS "ROC-AUC",
+  coalesce(sum(pos * cum_pos / (cum_pos + cum_neg)) / nullif(max(p), 0), 0) AS "PR-AUC" FROM steps GROUP BY "Model"
+""")
+cte("evaluation", 'SELECT m.*, a."ROC-AUC", a."PR-AUC" FROM metrics m JOIN areas a USING ("Model")')
+cte("report_rows", """
+SELECT *, CAST(tn + fp + fn + tp AS DOUBLE) AS n,
+  coalesce(CAST(tn AS DOUBLE) / nullif(tn + fn, 0), 0) AS p0, coalesce(CAST(tn AS DOUBLE) / nullif(tn + fp, 0), 0) AS r0,
+  coalesce(2.0 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f0, coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS p1,
+  coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS r1, coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1
+FROM confusion
+""")
+
+# --- contributions and texts -------------------------------------------------------------
+_base = "CAST(day(date) AS BIGINT) * 7 + length(grid_id) * 13 + incident_count * 5"
+_labels = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.DRIVER_LABELS.items())
+
+
+def label_sql(name: str) -> str:
+    return f"CASE {name} {_labels} ELSE replace({name}, '_', ' ') END"
+
+
+cte("contributions", "SELECT grid_id, date, rf_prob, " + ", ".join(
+    f"(({_base} + {11 * i}) % 41 - 20) / CAST(100.0 AS DOUBLE) AS {f}_shap" for i, f in enumerate(fixed.MODEL_FEATURES)) + " FROM scored")
+cte("drivers_long", "\nUNION ALL\n".join(
+    f"SELECT grid_id, date, rf_prob, {i} AS place, '{f}' AS feature, {f}_shap AS shap FROM contributions"
+    for i, f in enumerate(fixed.MODEL_FEATURES)))
+cte("drivers", "SELECT grid_id, date, max(rf_prob) AS rf_prob, " + ", ".join(
+    f"max(feature) FILTER (rn = {k}) AS top_driver_{k}, max(shap) FILTER (rn = {k}) AS top_driver_{k}_shap" for k in (1, 2, 3)) + """
+FROM (SELECT *, row_number() OVER (PARTITION BY grid_id, date ORDER BY abs(shap) DESC, place) AS rn FROM drivers_long)
+GROUP BY grid_id, date""")
+
+
+def phrase_sql(k: int) -> str:
+    return f"{label_sql(f'top_driver_{k}')} || ' (' || CASE WHEN top_driver_{k}_shap > 0 THEN 'increases' ELSE 'decreases' END || ' risk)'"
+
+
+cte("texts", f"""
+SELECT *, CASE WHEN rf_prob >= 0.5 THEN 'Risk is elevated mainly because ' ELSE 'Risk remains lower mainly because ' END
+  || {phrase_sql(1)} || ', ' || {phrase_sql(2)} || ', and ' || {phrase_sql(3)} || '.' AS explanation_text FROM drivers
+""")
+cte("explanation_rows", r"""
+SELECT grid_id, date, CAST(date_diff('day', DATE '2024-01-01', date) * 10000000 + CAST(regexp_extract(grid_id, 'r(\d+)_c', 1) AS BIGINT) * 1000
+    + CAST(regexp_extract(grid_id, '_c(\d+)', 1) AS BIGINT) + v * 5000000 AS BIGINT) AS position,
+  CASE WHEN v = 1 THEN 'later: ' ELSE '' END || explanation_text AS explanation_text
+FROM texts CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1)
+""")

@@ -6,8 +6,10 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cellcast import fixed
+from cellcast.operators import aggregates, explain, forest, grid, sampling
 from cellcast.operators.clean import ROW_ID
-from cellcast.plans import tables
+from cellcast.plans import scoring, tables
 from cellcast.session import staged
 
 
@@ -75,3 +77,76 @@ CITY = {"fields": ["city"], "values": ["Atlanta"]}
 _BUILD = {
     "model": lambda spark, d: tables.model_table(kept(spark, d, "incidents"), kept(spark, d, "weather"), **CITY),
 }
+
+
+def extract_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide incident extract before its filter: every field the extract asks for, plus OBJECTID."""
+    raw = kept(spark, sf_dir, "incidents")
+    rid = F.col("row_id")
+    values = {
+        "INCIDENT_KEY": F.concat(F.lit("K"), rid.cast("string")), "STATE": F.col("state_id"), "FDID": F.col("fdid"),
+        "INC_DATE": F.col("inc_date"), "INC_NO": F.col("inc_no").cast("string"), "EXP_NO": F.lit("0"),
+        "CITY": F.initcap(F.trim("city")), "STATE_ID": F.col("state_id"), "INC_TYPE": F.left("inc_type", F.lit(3)),
+        "AID": F.get(F.array(*[F.lit(a) for a in ("1", "2", "3", "N")]), (rid % 4).cast("int")),
+    }
+    blank = F.lit(None).cast("string")
+    return raw.select(*[values.get(f, blank).alias(f) for f in fixed.EXTRACT_FIELDS], rid.alias("OBJECTID"))
+
+
+def scored_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored test rows whose every score SQL can repeat: the density hotspot, the historical rate in the
+    place of forecasts, and a fixed linear score in the place of the forest."""
+    train, test = scoring.split_model_table(kept(spark, sf_dir, "model"))
+    rows = scoring.score_hotspot(train, test, kept(spark, sf_dir, "centroids"))
+    rows = rows.withColumn("hotspot_prob", F.round("hotspot_prob", 6) + 0.0)
+    rows = rows.drop("arima_forecast").join(aggregates.historical_rate(train), "grid_id", "left")
+    rows = rows.withColumn("arima_forecast", F.round(F.coalesce("rate", F.lit(0.0)), 6) + 0.0).drop("rate")
+    rows = aggregates.normalize_max(rows, "arima_forecast", "arima_prob")
+    rows = rows.withColumn("arima_prob", F.round("arima_prob", 6) + 0.0)
+    rows = rows.withColumn("arima_pred", (F.col("arima_forecast") >= 0.1).cast("int"))
+    linear = 0.05 + 0.1 * F.col("lag_1") + 0.06 * F.col("rolling_sum_7") + 0.03 * F.col("rolling_sum_14") + 0.02 * F.col("is_weekend")
+    rows = rows.withColumn("rf_prob", F.round(F.least(F.lit(1.0), linear), 6) + 0.0)
+    return rows.withColumn("rf_pred", (F.col("rf_prob") >= 0.5).cast("int"))
+
+
+def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows with made contributions (many ties), for the steps that only read contributions."""
+    rows = kept(spark, sf_dir, "scored")
+    base = F.dayofmonth("date") * 7 + F.length("grid_id") * 13 + F.col("incident_count") * 5
+    made = [(((base + 11 * i) % 41 - 20) / F.lit(100.0)).alias(f"{f}_shap") for i, f in enumerate(fixed.MODEL_FEATURES)]
+    return rows.select("grid_id", "date", "rf_prob", *made)
+
+
+def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explained rows in two versions; the later version of a (cell, date) must lose."""
+    rows = explain.explanation_text(sampling.topk_drivers(contributions(spark, sf_dir)))
+    cell = F.regexp_extract("grid_id", r"r(\d+)_c", 1).cast("bigint") * 1000 + F.regexp_extract("grid_id", r"_c(\d+)", 1).cast("bigint")
+    first = F.datediff("date", F.lit("2024-01-01").cast("date")) * F.lit(10000000) + cell
+    version = F.explode(F.array(F.lit(0), F.lit(1)))
+    return rows.select("grid_id", "date", "explanation_text", first.alias("first"), version.alias("version")).select(
+        "grid_id", "date",
+        (F.col("first") + F.col("version") * F.lit(5000000)).alias("position"),
+        F.when(F.col("version") == 1, F.concat(F.lit("later: "), "explanation_text")).otherwise(F.col("explanation_text")).alias("explanation_text"),
+    )
+
+
+_BUILD.update({
+    "located": lambda spark, d: tables.located_incidents(kept(spark, d, "incidents"), **CITY)[0],
+    "centroids": lambda spark, d: grid.cell_centroids(cells(spark, d)),
+    "scored": scored_test,
+})
+
+
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, frame = tables.located_incidents(kept(spark, sf_dir, "incidents"), **CITY)
+    return tables.grid_cells(frame)
+
+
+@cache
+def _fitted(spark: SparkSession, app: str, sf_dir: str) -> forest.Forest:
+    return forest.train_forest(scoring.split_model_table(kept(spark, sf_dir, "model"))[0])
+
+
+def fitted(spark: SparkSession, sf_dir: str) -> forest.Forest:
+    """The forest is trained once per session; all its readers share it."""
+    return _fitted(spark, spark.sparkContext.applicationId, sf_dir)
