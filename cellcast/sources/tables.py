@@ -27,20 +27,20 @@ def read_table(spark: SparkSession, path: str, **geojson_options) -> DataFrame:
 def read_geojson_points(spark: SparkSession, path: str, properties: str | None = None, lines: bool = False) -> DataFrame:
     """Point features -> property columns, geometry, longitude, latitude.
 
-    ``properties`` is a DDL schema (column list) that saves the inference pass. ``lines`` reads one
+    ``properties`` is a column list such as "INC_NO: string, Score: double"; it saves the inference pass. ``lines`` reads one
     feature per line, the splittable layout to use for anything large; it also accepts a collection
     written with one feature per line. A collection on one line is one JSON document, read by one task.
     """
-    feature = f"struct<type:string,properties:struct<{properties}>,geometry:{GEOMETRY}>" if properties else None
+    feature = f"type string, properties struct<{properties}>, geometry {GEOMETRY}" if properties else None
     if lines:
         reader = spark.read.option("mode", "DROPMALFORMED")
         if feature:
-            reader = reader.schema(feature.removeprefix("struct<").removesuffix(">"))
+            reader = reader.schema(feature)
         features = reader.json(path).filter("type = 'Feature'").select(F.struct("properties", "geometry").alias("f"))
     else:
         reader = spark.read.option("multiLine", True)
         if feature:
-            reader = reader.schema(f"type string, features array<{feature}>")
+            reader = reader.schema(f"type string, features array<struct<{feature}>>")
         document = reader.json(path)
         if "features" not in document.columns:
             raise ValueError("not a GeoJSON feature collection")

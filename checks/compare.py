@@ -10,6 +10,8 @@ import duckdb
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -46,7 +48,8 @@ def compare(spark, con, run, sql: str | None, sf_dir: str) -> dict:
     out["sql_types"] = {d[0]: str(d[1]) for d in cur.description}
     right = [dict(zip(names, r)) for r in cur.fetchall()]
     right = sorted(tuple(_cell(r.get(c)) for c in cols) for r in right)
-    out["ok"] = cols == sorted(names) and left == right
+    same_types = all(TYPES.get(t, t) == out["sql_types"].get(c) for c, t in out["types"].items())
+    out["ok"] = cols == sorted(names) and left == right and same_types
     out["checked"] = "sql"
     if not out["ok"]:
         out["sql_rows"] = len(right)

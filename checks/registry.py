@@ -14,7 +14,7 @@ from cellcast.plans import scoring, tables
 from cellcast.session import shared_dir
 from cellcast.sources import tables as files
 from checks import views
-from checks.sql import label_sql, r6, with_ctes
+from checks.sql import cte, label_sql, r6, with_ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,7 +161,7 @@ def filter_field_values(spark, d):
     return clean.filter_field_values(raw(spark, d), ["city", "fdid"], [" atlanta", "1007"]).select(*RAW)
 
 
-@query("coerce_coordinates", "SELECT row_id, TRY_CAST(latitude AS DOUBLE) AS latitude, TRY_CAST(longitude AS DOUBLE) AS longitude FROM raw_incidents", 12)
+@query("coerce_coordinates", f"SELECT row_id, {r6('TRY_CAST(latitude AS DOUBLE)', 'latitude')}, {r6('TRY_CAST(longitude AS DOUBLE)', 'longitude')} FROM raw_incidents")
 def coerce_coordinates(spark, d):
     return clean.coerce_coordinates(raw(spark, d), "latitude", "longitude").select("row_id", "latitude", "longitude")
 
@@ -563,12 +563,15 @@ def sample_n(spark, d):
     return sampling.sample_n(scored(spark, d), 500).select("grid_id", "date")
 
 
-@query("select_explain_rows", f"""
-WITH strata AS (
+cte("strata", f"""
   SELECT 0 AS r, 'high' AS stratum, grid_id, date FROM (SELECT * FROM scored ORDER BY rf_prob DESC, date, grid_id LIMIT 50)
   UNION ALL SELECT 1, 'mid', grid_id, date FROM (SELECT * FROM ({BAND_SQL}) ORDER BY md5('42|' || grid_id || '|' || CAST(date AS VARCHAR)), grid_id, date LIMIT 25)
   UNION ALL SELECT 2, 'low', grid_id, date FROM (SELECT * FROM (SELECT * FROM scored ORDER BY rf_prob, date, grid_id LIMIT 200)
-    ORDER BY md5('42|' || grid_id || '|' || CAST(date AS VARCHAR)), grid_id, date LIMIT 25))
+    ORDER BY md5('42|' || grid_id || '|' || CAST(date AS VARCHAR)), grid_id, date LIMIT 25)
+""")
+
+
+@query("select_explain_rows", """
 SELECT grid_id, date, stratum FROM (SELECT *, row_number() OVER (PARTITION BY grid_id, date ORDER BY r) AS n FROM strata) WHERE n = 1
 """)
 def select_explain_rows(spark, d):
