@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellcast import fixed
 from cellcast.operators.grid import scalar
 from cellcast.operators.hotspot import apply_threshold, best_f1_threshold
 from cellcast.operators.split import cell_codes, encode_grid_id
-from cellcast.session import staged
+from cellcast.session import shared_dir, staged
 
 
 @dataclass
 class Forest:
-    """A fitted forest, the cell codes it was trained with and its tuned threshold (one row)."""
+    """A fitted forest, its nodes as rows, the cell codes it was trained with, its tuned threshold (one row)."""
 
     model: RandomForestRegressionModel
+    nodes: DataFrame
     codes: DataFrame
     threshold: DataFrame
 
@@ -46,17 +48,33 @@ def fit_forest(rows: DataFrame, label: str = fixed.TARGET, trees: int = fixed.FO
     )
     learner = RandomForestRegressor(
         featuresCol="features", labelCol=label, weightCol="_weight", predictionCol="rf_prob", numTrees=trees, maxDepth=depth,
-        minInstancesPerNode=min_leaf, seed=seed, featureSubsetStrategy="sqrt", maxBins=bins, maxMemoryInMB=1024,
+        minInstancesPerNode=min_leaf, seed=seed, featureSubsetStrategy="sqrt", maxBins=bins, maxMemoryInMB=1024, cacheNodeIds=True,
     )
     return learner.fit(balanced.select("features", F.col(label).cast("double").alias(label), "_weight"))
 
 
+def tree_nodes(model: RandomForestRegressionModel, spark: SparkSession) -> DataFrame:
+    """The saved forest as rows: tree_id, id, left, right, feature, threshold, cover, value."""
+    path = f"{shared_dir(spark)}/forest-{uuid.uuid4().hex}"
+    model.save(path)
+    node = F.col("nodeData")
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree_id"), node["id"].alias("id"), node["leftChild"].alias("left"), node["rightChild"].alias("right"),
+        node["split"]["featureIndex"].alias("feature"), F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+        F.get(node["impurityStats"], F.lit(0)).alias("cover"), node["prediction"].alias("value"),
+    )
+
+
 def train_forest(train: DataFrame, label: str = fixed.TARGET, **settings) -> Forest:
-    """Fit and tune. Codes and features are written once: fitting passes over them many times."""
+    """Fit and tune. Codes and features are written once, evenly split, since fitting passes over them
+    many times and every core should share in each pass."""
+    spark = train.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     codes = staged(cell_codes(train), "cell-codes")
-    rows = staged(feature_rows(train, codes).select("features", label), "forest-features")
+    rows = staged(feature_rows(train, codes).select("features", label).repartition(tasks), "forest-features")
     model = fit_forest(rows, label, **settings)
-    return Forest(model, codes, staged(best_f1_threshold(model.transform(rows), "rf_prob", label), "forest-threshold"))
+    threshold = staged(best_f1_threshold(model.transform(rows), "rf_prob", label), "forest-threshold")
+    return Forest(model, tree_nodes(model, spark), codes, threshold)
 
 
 def forest_predict(rows: DataFrame, forest: Forest, threshold: float | None = None) -> DataFrame:

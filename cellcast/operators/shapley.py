@@ -8,8 +8,6 @@ t in (0, 1) of a polynomial (Owen's multilinear extension), which Gauss-Legendre
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -17,26 +15,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cellcast import fixed
 from cellcast.operators.forest import Forest
 from cellcast.operators.sampling import ROW_KEY, sample_n
-from cellcast.session import shared_dir
 
-TREES_PER_TASK = 8
+TREES_PER_TASK = 4
 ROWS_PER_BLOCK = 1024
 CHUNK = 1 << 20  # leaf-row pairs worked on at once
 
 
-def tree_nodes(forest: Forest) -> DataFrame:
-    """The forest as rows: tree_id, id, left, right, feature, threshold, cover, value."""
-    spark = forest.codes.sparkSession
-    path = f"{shared_dir(spark)}/forest-{uuid.uuid4().hex}"
-    forest.model.save(path)
-    node = F.col("nodeData")
-    return spark.read.parquet(f"{path}/data").select(
-        F.col("treeID").alias("tree_id"), node["id"].alias("id"), node["leftChild"].alias("left"), node["rightChild"].alias("right"),
-        node["split"]["featureIndex"].alias("feature"), F.get(node["split"]["leftCategoriesOrThreshold"], 0).alias("threshold"),
-        F.get(node["impurityStats"], 0).alias("cover"), node["prediction"].alias("value"),
-    )
-
-
 def leaf_games(nodes: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
     """Value, lower and upper bounds and passing share per feature of every leaf of one tree."""
     at = nodes.set_index("id")
@@ -62,20 +46,30 @@ def leaf_games(nodes: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
 
 
 def contributions(x: np.ndarray, nodes: pd.DataFrame) -> np.ndarray:
-    """Shapley values of one tree for rows x, with the tree's mean value as an extra last column."""
+    """Shapley values of one tree for rows x, with the tree's mean value as an extra last column.
+
+    A leaf's factor for a feature is ``met`` where the row satisfies its condition and ``unmet`` where not;
+    arrays are (rows, leaves), one feature at a time.
+    """
     width = x.shape[1]
     value, low, high, share = leaf_games(nodes, width)
-    points, weights = np.polynomial.legendre.leggauss(width // 2 + 1)
+    used = np.flatnonzero((share < 1).any(axis=0))
+    points, weights = np.polynomial.legendre.leggauss((width + 1) // 2)
     out = np.zeros((len(x), width + 1))
     out[:, width] = (value * share.prod(axis=1)).sum()
-    step = max(1, CHUNK // (len(value) * width))
+    step = max(1, CHUNK // len(value))
     for start in range(0, len(x), step):
-        rows = x[start:start + step, None, :]
-        hit = ((rows > low) & (rows <= high)).astype(float)
-        gain = value[:, None] * (hit - share)
+        rows = slice(start, start + step)
+        hits = [((x[rows, f, None] > low[:, f]) & (x[rows, f, None] <= high[:, f])).astype(float) for f in used]
         for t, w in zip((points + 1) / 2, weights / 2):
-            factor = hit * t + share * (1 - t)
-            out[start:start + step, :width] += w * (gain * (factor.prod(axis=2, keepdims=True) / factor)).sum(axis=1)
+            met, unmet = share * (1 - t) + t, share * (1 - t)
+            product = np.broadcast_to(w * value, hits[0].shape).copy() if hits else None
+            for hit, f in zip(hits, used):
+                product *= hit * (met - unmet)[:, f] + unmet[:, f]
+            for hit, f in zip(hits, used):
+                # (hit - share) / factor: a constant per leaf either way.
+                gain, loss = (1 - share[:, f]) / met[:, f], -share[:, f] / unmet[:, f]
+                out[rows, f] += np.einsum("rl,rl,l->r", product, hit, gain - loss) + product @ loss
     return out
 
 
@@ -111,7 +105,7 @@ def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str]
     # The keyed exchanges carry an explicit count: the groups are small in bytes but heavy in work, so
     # they must not be coalesced.
     spark = rows.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     parts = (
         left.repartition(tasks, "bundle", "block").groupBy("bundle", "block")
         .cogroup(right.repartition(tasks, "bundle", "block").groupBy("bundle", "block"))
@@ -123,7 +117,7 @@ def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str]
 
 def explain_forest(rows: DataFrame, forest: Forest) -> DataFrame:
     """Rows with their contributions attached. The explained set is given, so both sides are of its size."""
-    shap = tree_shap(rows, tree_nodes(forest), forest.model.getNumTrees)
+    shap = tree_shap(rows, forest.nodes, forest.model.getNumTrees)
     return rows.join(shap, ROW_KEY)
 
 

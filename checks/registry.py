@@ -11,7 +11,7 @@ from cellcast import fixed
 from cellcast.operators import aggregates, arima, clean, daily, evaluate, explain, forest, grid, hotspot, sampling, shapley, split
 from cellcast.operators import views as read_views
 from cellcast.plans import scoring, tables
-from cellcast.session import shared_dir
+from cellcast.session import shared_dir, staged
 from cellcast.sources import tables as files
 from checks import views
 from checks.sql import cte, label_sql, r6, with_ctes
@@ -717,7 +717,7 @@ def arima_predict(spark, d):
 
 @query("rf_train")
 def rf_train(spark, d):
-    nodes = shapley.tree_nodes(views.fitted(spark, d))
+    nodes = views.fitted(spark, d).nodes
     return nodes.groupBy("tree_id").agg(F.count(F.lit(1)).alias("nodes"), F.sum((F.col("left") < 0).cast("int")).alias("leaves"))
 
 
@@ -739,14 +739,15 @@ def topk_importance(spark, d):
 
 def sampled_contributions(spark, d, n):
     fitted = views.fitted(spark, d)
-    rows = shapley.shap_sample(forest.forest_scores(train_test(spark, d)[1], fitted), n)
+    rows = staged(shapley.shap_sample(forest.forest_scores(train_test(spark, d)[1], fitted), n), "shap-sample")
     return shapley.contributions_long(shapley.explain_forest(rows, fitted))
 
 
 @query("tree_shap")
 def tree_shap(spark, d):
     fitted = views.fitted(spark, d)
-    chosen = sampling.select_explain_rows(forest.forest_scores(train_test(spark, d)[1], fitted))
+    scores = staged(forest.forest_scores(train_test(spark, d)[1], fitted), "forest-scored")
+    chosen = staged(sampling.select_explain_rows(scores), "explain-rows")
     return shapley.explain_forest(chosen, fitted).select("grid_id", "date", "rf_prob", "base_value", *[f"{f}_shap" for f in fixed.MODEL_FEATURES])
 
 
