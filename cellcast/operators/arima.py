@@ -29,17 +29,17 @@ def orders(p=fixed.ARIMA["p"], d=fixed.ARIMA["d"], q=fixed.ARIMA["q"]) -> list[t
     return [(a, b, c) for a in p for b in d for c in q if (a, c) != (0, 0)]
 
 
-def arima_grid_forecast(train: DataFrame, cells: DataFrame, test_dates: Column, grid: list[tuple[int, int, int]] | None = None) -> DataFrame:
+def arima_grid_forecast(train: DataFrame, cells: DataFrame, test_dates: Column, grid: list[tuple[int, int, int]] | None = None,
+                        tasks: int | None = None) -> DataFrame:
     """(grid_id, date, forecast) for the chosen cells over all test dates, from the order with least AIC.
 
-    ``cells`` is the bounded selection of busy cells. A series has one number per day. The explicit
-    partition count keeps the fits spread out: their rows are small, so adaptive coalescing would put
+    ``cells`` is the selection of busy cells. A series has one number per day. The explicit partition
+    count (twice the cores unless ``tasks`` is given) keeps the fits spread out: their rows are small, so adaptive coalescing would put
     all of this heavy work into one task. An order that cannot be fitted drops out; if all do, the
     cell's mean is the forecast.
     """
-    spark = train.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    chosen = train.join(F.broadcast(cells.select("grid_id")), "grid_id")
+    tasks = tasks or 2 * train.sparkSession.sparkContext.defaultParallelism
+    chosen = train.join(cells.select("grid_id"), "grid_id")
     series = chosen.groupBy("grid_id").agg(
         F.array_sort(F.collect_list(F.struct("date", F.col("incident_count").cast("double").alias("n"))))["n"].alias("series")
     )

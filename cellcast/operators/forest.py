@@ -65,11 +65,11 @@ def tree_nodes(model: RandomForestRegressionModel, spark: SparkSession) -> DataF
     )
 
 
-def train_forest(train: DataFrame, label: str = fixed.TARGET, **settings) -> Forest:
-    """Fit and tune. Codes and features are written once, evenly split, since fitting passes over them
-    many times and every core should share in each pass."""
+def train_forest(train: DataFrame, label: str = fixed.TARGET, tasks: int | None = None, **settings) -> Forest:
+    """Fit and tune. Codes and features are written once, evenly split (one part per core unless ``tasks``
+    is given), since fitting passes over them many times and every core should share in each pass."""
     spark = train.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = tasks or spark.sparkContext.defaultParallelism
     codes = staged(cell_codes(train), "cell-codes")
     rows = staged(feature_rows(train, codes).select("features", label).repartition(tasks), "forest-features")
     model = fit_forest(rows, label, **settings)

@@ -16,11 +16,13 @@ def scalar(df: DataFrame) -> Column:
     return df.select(F.struct(*df.columns).alias("_row")).scalar()
 
 
-def utm_frame(points: DataFrame, lon: str = "longitude", lat: str = "latitude") -> DataFrame:
-    """One row: zone, central meridian and hemisphere at the centre of the data."""
+def utm_frame(points: DataFrame, lon: str = "longitude", lat: str = "latitude", **more: Column) -> DataFrame:
+    """One row: zone, central meridian and hemisphere at the centre of the data, and ``more`` aggregates
+    that should come out of the same scan."""
     middle_lon = (F.min(lon) + F.max(lon)) / 2
     middle_lat = (F.min(lat) + F.max(lat)) / 2
-    return points.agg(geo.utm_zone(middle_lon).alias("zone"), (middle_lat < 0).alias("south")).withColumn(
+    return points.agg(geo.utm_zone(middle_lon).alias("zone"), (middle_lat < 0).alias("south"),
+                      *[c.alias(name) for name, c in more.items()]).withColumn(
         "meridian", geo.zone_meridian(F.col("zone"))
     )
 

@@ -53,9 +53,13 @@ def running_totals(df: DataFrame, groups: list[str], value: str, sums: list[str]
 
 
 def _join(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """``small`` has at most 2^levels rows per group of evaluation, a proven bound; hence the broadcast."""
+    """``small`` has at most 2^levels rows per group of evaluation, a proven bound; hence the broadcast.
+
+    Every row has its match; the outer join only keeps the optimizer from adding null checks to some
+    branches, which would stop them from sharing one shuffle.
+    """
     if keys:
-        return rows.join(F.broadcast(small), keys)
+        return rows.join(F.broadcast(small), keys, "left")
     return rows.withColumn("_cuts", small.select("_cuts").scalar())
 
 

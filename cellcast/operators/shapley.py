@@ -73,7 +73,8 @@ def contributions(x: np.ndarray, nodes: pd.DataFrame) -> np.ndarray:
     return out
 
 
-def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str] | None = None, keys: list[str] | None = None) -> DataFrame:
+def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str] | None = None, keys: list[str] | None = None,
+              tasks: int | None = None) -> DataFrame:
     """Keys, <feature>_shap for every feature and base_value, for any number of rows.
 
     Work is cut into (bundle of trees) x (block of rows) groups, both of bounded size, and each group
@@ -104,8 +105,7 @@ def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str]
 
     # The keyed exchanges carry an explicit count: the groups are small in bytes but heavy in work, so
     # they must not be coalesced.
-    spark = rows.sparkSession
-    tasks = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    tasks = tasks or 4 * rows.sparkSession.sparkContext.defaultParallelism
     parts = (
         left.repartition(tasks, "bundle", "block").groupBy("bundle", "block")
         .cogroup(right.repartition(tasks, "bundle", "block").groupBy("bundle", "block"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellcast import fixed
 from cellcast.operators.ranking import rank_by_text
@@ -46,10 +46,11 @@ def encode_grid_id(rows: DataFrame, codes: DataFrame) -> DataFrame:
 def lookup_forecast(rows: DataFrame, forecasts: DataFrame, rates: DataFrame, out: str = "arima_forecast") -> DataFrame:
     """Modelled cell: its forecast for the date, else 0. Other cells: their historical rate, else 0.
 
-    Forecasts exist for at most max_cells cells, so they are bounded and broadcast; rates are per cell.
+    No join is forced: the forecasts of a few dozen cells are broadcast once their size is known, and a
+    larger selection is shuffled by key.
     """
-    by_day = F.broadcast(forecasts.select("grid_id", "date", F.col("forecast").alias("_forecast")))
-    modelled = F.broadcast(forecasts.select("grid_id").distinct().withColumn("_modelled", F.lit(True)))
+    by_day = forecasts.select("grid_id", "date", F.col("forecast").alias("_forecast"))
+    modelled = forecasts.select("grid_id").distinct().withColumn("_modelled", F.lit(True))
     joined = rows.join(by_day, ["grid_id", "date"], "left").join(modelled, "grid_id", "left")
     joined = joined.join(rates.select("grid_id", F.col("rate").alias("_rate")), "grid_id", "left")
     value = F.when(F.col("_modelled"), F.coalesce("_forecast", F.lit(0.0))).otherwise(F.coalesce("_rate", F.lit(0.0)))
@@ -59,5 +60,6 @@ def lookup_forecast(rows: DataFrame, forecasts: DataFrame, rates: DataFrame, out
 def class_weights(rows: DataFrame, label: str = fixed.TARGET) -> DataFrame:
     """Balanced weights: n / (2 * size of the class)."""
     sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # Two rows at most, so the window over all of them costs nothing and spares a second scan.
+    total = F.sum("n").over(Window.partitionBy())
     return sizes.select(label, "n", (total / (2 * F.col("n"))).alias("weight"))

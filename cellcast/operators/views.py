@@ -39,10 +39,13 @@ def actual_vs_predicted_day(cells: DataFrame, scored: DataFrame, date: Column, p
 def nearest_date(probes: DataFrame, dates: Column, probe: str = "date") -> DataFrame:
     """Nearest modelled date per probe, the earlier one on ties.
 
-    ``dates`` is the array subquery of modelled dates, bounded by the calendar, so a probe needs no join.
+    ``dates`` is the array subquery of modelled dates. The search runs once per distinct probe date; both
+    are bounded by the calendar, so the answers are broadcast back onto the probes.
     """
     apart = F.transform("_dates", lambda d: F.struct(F.abs(F.datediff(d, F.col(probe))).alias("days"), d.alias("date")))
-    return probes.withColumn("_dates", dates).withColumn("nearest", F.array_min(apart)["date"]).drop("_dates")
+    answers = probes.select(probe).distinct().withColumn("_dates", dates)
+    answers = answers.select(probe, F.array_min(apart)["date"].alias("nearest"))
+    return probes.join(F.broadcast(answers), probe, "left").select(*probes.columns, "nearest")
 
 
 def cell_snapshot(scored: DataFrame, grid_id: str | None = None, date: Column | None = None) -> DataFrame:

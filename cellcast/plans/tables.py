@@ -11,11 +11,14 @@ from cellcast.operators import clean, daily, grid
 
 @dataclass
 class Frame:
-    """Where the data lies: lazily computed scalars shared by all later steps."""
+    """Where the data lies: lazily computed scalars shared by all later steps.
 
-    utm: Column
+    ``bounds`` holds the UTM zone and the first and last day, from one scan; the metre extent needs the
+    zone and so a second one.
+    """
+
+    bounds: Column
     extent_row: DataFrame
-    days: Column
 
     @property
     def extent(self) -> Column:
@@ -25,14 +28,13 @@ class Frame:
 def frame_of(incidents: DataFrame, size: float = 1000.0) -> Frame:
     """Bounds do not change with repeated rows, so ``incidents`` may be the rows before de-duplication:
     then the bounds cost narrow scans and no shuffle."""
-    utm = grid.scalar(grid.utm_frame(incidents))
-    projected = grid.project_utm(incidents, utm)
-    return Frame(utm, grid.spatial_extent(projected, size), grid.scalar(daily.day_range(incidents)))
+    bounds = grid.scalar(grid.utm_frame(incidents, first=F.min("date"), last=F.max("date")))
+    return Frame(bounds, grid.spatial_extent(grid.project_utm(incidents, bounds), size))
 
 
 def place(incidents: DataFrame, frame: Frame, size: float = 1000.0) -> DataFrame:
     """Add cell_col, cell_row, grid_id to clean incidents."""
-    return grid.assign_grid_cell(grid.project_utm(incidents, frame.utm), size, frame.extent)
+    return grid.assign_grid_cell(grid.project_utm(incidents, frame.bounds), size, frame.extent)
 
 
 def located_incidents(raw: DataFrame, size: float = 1000.0, **options) -> tuple[DataFrame, Frame]:
@@ -44,14 +46,14 @@ def located_incidents(raw: DataFrame, size: float = 1000.0, **options) -> tuple[
 
 
 def grid_cells(frame: Frame, size: float = 1000.0) -> DataFrame:
-    return grid.unproject_cells(grid.generate_grid(frame.extent_row, size), frame.utm)
+    return grid.unproject_cells(grid.generate_grid(frame.extent_row, size), frame.bounds)
 
 
 def cell_day_table(raw: DataFrame, weather_raw: DataFrame, size: float = 1000.0, horizon: int = 1,
                    country: str = "US", weather_columns: dict | None = None, **options) -> DataFrame:
     incidents, frame = located_incidents(raw, size, **options)
     weather = clean.clean_weather(clean.standardize_weather(weather_raw, **(weather_columns or {})))
-    return daily.build_cell_days(incidents, weather, horizon, country, days=frame.days)
+    return daily.build_cell_days(incidents, weather, horizon, country, days=frame.bounds)
 
 
 def model_table(raw: DataFrame, weather_raw: DataFrame, **options) -> DataFrame:
@@ -83,7 +85,7 @@ def build_tables(raw: DataFrame, weather_raw: DataFrame, out: str, size: float =
     cells = grid_cells(frame, size)
     sink.write_grid_geojson(cells, f"{out}/grid_cells.geojsonl")
     weather = clean.clean_weather(clean.standardize_weather(weather_raw, **(weather_columns or {})))
-    days = daily.build_cell_days(incidents, weather, horizon, country)
+    days = daily.build_cell_days(incidents, weather, horizon, country, days=frame.bounds)
     by_month = days.withColumn("part_month", F.trunc("date", "month"))
     sink.write_parquet(by_month, f"{out}/cell_day_table.parquet", ["part_month"])
     cell_days = spark.read.schema(by_month.schema).parquet(f"{out}/cell_day_table.parquet").drop("part_month")

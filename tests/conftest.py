@@ -10,6 +10,6 @@ from cellcast.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", "cellcast-tests")
+    session = local_session("8", "cellcast-tests", **{"spark.sql.maxMetadataStringLength": "10000"})
     yield session
     session.stop()
