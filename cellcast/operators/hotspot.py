@@ -80,7 +80,9 @@ def kernel_density(targets: DataFrame, sources: DataFrame) -> DataFrame:
     )
     sent = packed.select("pack", _near("tile_p").alias("tile_p"), "tile_q").select("pack", "tile_p", _near("tile_q").alias("tile_q"))
     sent = sent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = _white(targets.withColumn("_k", kernel)).withColumn("salt", F.pmod(F.hash("grid_id"), F.lit(SALTS)))
+    # Targets are small rows with much work each: an explicit count keeps them spread over all cores.
+    tasks = 2 * targets.sparkSession.sparkContext.defaultParallelism
+    spread = _white(targets.repartition(tasks).withColumn("_k", kernel)).withColumn("salt", F.pmod(F.hash("grid_id"), F.lit(SALTS)))
     met = spread.select("grid_id", "p", "q", F.col("_k.k").alias("k"), "tile_p", "tile_q", "salt").join(sent, ["tile_p", "tile_q", "salt"])
 
     def weight(s: Column) -> Column:
