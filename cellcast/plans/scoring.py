@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from cellcast import fixed
 from cellcast.operators import arima, evaluate, explain, forest, hotspot, sampling, shapley

@@ -57,7 +57,7 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The raw inputs are tables at rest, as they are in life: each is written once per session to the
 # shared folder, evenly split, and every query reads it from there. So is the model table, which is
-# the reference product that the model and view queries start from.
+# the product that the model and view queries start from.
 @cache
 def _kept(spark: SparkSession, app: str, sf_dir: str, name: str) -> DataFrame:
     if name == "incidents":

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from cellcast.operators import clean, daily, evaluate, grid
+from cellcast.operators import clean, daily
 from cellcast.plans import tables
 from checks import compare, registry, views
 
