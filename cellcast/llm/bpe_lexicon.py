@@ -12,6 +12,7 @@ import hashlib
 import json
 import re
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -161,38 +162,48 @@ class Encoder:
     def _learn(self, new: set[str]) -> None:
         split = self.vocabulary.split
         cut = {c: split(c) for c in new}
-        wanted = list({w for ws in cut.values() for w in ws} - self.words.keys())
+        wanted = list({w for ws in cut.values() for w in ws}.difference(self.words))
         raw = [w.encode() for w in wanted]
         for word, b, row in zip(wanted, raw, self.lexicon.rows(raw).tolist()):
             if row >= 0:
                 self.words[word] = self.lexicon.encoded(row)
             else:
-                self.words[word] = np.array(self.vocabulary.merge(b), dtype="<u4").tobytes()
+                self.words[word] = array("I", self.vocabulary.merge(b)).tobytes()
         own = self.words
         self.chunks.update((c, b"".join([own[w] for w in ws])) for c, ws in cut.items())
 
-    def _ordinary(self, text: str) -> bytes:
-        found = CHUNK.findall(text)
-        out = []
-        for i in range(0, len(found), 1_000_000):
-            part = found[i:i + 1_000_000]
-            new = set(part) - self.chunks.keys()
-            if new and len(self.chunks) + len(new) > self.most:
-                self.chunks.clear()
-                self.words.clear()
-                new = set(part)
-            if new:
-                self._learn(new)
-            own = self.chunks
-            out.append(b"".join([own[c] for c in part]))
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        added = self.vocabulary.added
-        if not any(a in text for a in added):
-            return self._ordinary(text)
-        parts = self.vocabulary.cut(text)
-        return b"".join(np.array([added[p]], "<u4").tobytes() if p in added else self._ordinary(p) for p in parts)
+    def learn(self, texts: list[str]) -> list[list[str]]:
+        """The chunks of some texts, all of them known afterwards: their new words are looked up together."""
+        found = [CHUNK.findall(t) for t in texts]
+        need = set().union(*found)
+        new = need.difference(self.chunks)
+        if len(self.chunks) + len(new) > self.most:
+            self.chunks.clear()
+            self.words.clear()
+            new = need
+        self._learn(new)
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. Added tokens' strings cut a text; what lies between is ordinary text."""
+        added, cut = self.vocabulary.added, self.vocabulary.cut
+        parts = [cut(t) if any(a in t for a in added) else [t] for t in texts]
+        found = iter(self.learn([p for ps in parts for p in ps if p not in added]))
+        get = self.chunks.__getitem__
+        return [b"".join(array("I", [added[p]]).tobytes() if p in added else b"".join(map(get, next(found))) for p in ps) for ps in parts]
+
+
+def in_slices(column: pa.Array, chars: int = 1_000_000) -> Iterator[list[str]]:
+    """The texts of a column, about so many characters at a time."""
+    out, size = [], 0
+    for text in column:
+        out.append(text.as_py())
+        size += len(out[-1])
+        if size >= chars:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out
 
 
 def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -248,8 +259,7 @@ def encoded(docs: DataFrame, tokenizer: str, size: int = LEXICON, keep: bool = F
         encoder = Encoder(vocabulary, Lexicon(np.memmap(SparkFiles.get(name), dtype="<i4", mode="r")))
         for batch in batches:
             cols: list[list] = [[] for _ in range(3 + 2 * keep)]
-            for text in batch.column(1):
-                ids = encoder.encode(text.as_py())
+            for ids in (i for texts_ in in_slices(batch.column(1)) for i in encoder.encode(texts_)):
                 back = vocabulary.decode(np.frombuffer(ids, "<u4").tolist())
                 sums = [hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.encode()).hexdigest()]
                 for col, value in zip(cols, [len(ids) // 4, *sums, ids, back]):

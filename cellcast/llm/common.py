@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellcast.session import shared_dir, staged
 
-__all__ = ["shared_dir", "staged", "table", "texts", "shuffle_parts", "WordHashes", "mix"]
+__all__ = ["shared_dir", "staged", "table", "texts", "shuffle_parts", "unused", "word_hashes", "mix"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,29 +26,9 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-class WordHashes:
-    """64-bit hashes of words as a numpy array; words seen lately are kept in a bounded dictionary."""
-
-    def __init__(self, most: int = 500_000):
-        self.most = most
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.values = np.zeros(1024, dtype=np.uint64)
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        new = set(words).difference(self.index)
-        if new and self.index and len(self.index) + len(new) > self.most:
-            self._clear()
-            new = set(words)
-        n = len(self.index)
-        if n + len(new) > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros(n + 2 * len(new), dtype=np.uint64)])
-        for i, w in enumerate(new, n):
-            self.index[w] = i
-            self.values[i] = xxhash.xxh3_64_intdigest(w)
-        return self.values[np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))]
+def word_hashes(words: list[str]) -> np.ndarray:
+    """64-bit hashes. Hashing anew costs less than looking words up: most texts bring many new ones."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cellcast.llm.common import WordHashes, texts
+from cellcast.llm.common import word_hashes, texts
 from cellcast.llm.quality_rules import WORD, text_counts
 
 LABELLED = 20_000
@@ -26,7 +26,7 @@ BUCKETS = 64
 KEEP_GOOD = 0.995  # of the held-back good documents stay
 
 
-def content(text: str, hashes: WordHashes) -> np.ndarray:
+def content(text: str) -> np.ndarray:
     """Shares of kinds of characters, repetition, and the hashed words' frequencies."""
     n, chars, symbols, dups, repeats, lines, capitals = text_counts(text)
     words = WORD.findall(text.lower())
@@ -36,17 +36,17 @@ def content(text: str, hashes: WordHashes) -> np.ndarray:
     digits = ((raw >= 48) & (raw <= 57)).sum()
     marks = np.isin(raw, np.frombuffer(b"!?;:~^=@_\\/", np.uint8)).sum()
     shares = np.sqrt([symbols / chars, dups / max(lines, 1), repeats / n, capitals / chars, digits / chars, marks / chars])
-    counts = np.bincount((hashes(words) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+    counts = np.bincount((word_hashes(words) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
     return np.concatenate([[1.0, np.log(max(chars / n, 1)), len(set(words)) / n], shares, np.sqrt(counts / n)])
 
 
-def metadata(text: str, lang: str | None, source: str | None, n_chars: int | None, hashes: WordHashes) -> np.ndarray:
+def metadata(text: str, lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
     """Language, source, declared and real size, and the layout of lines."""
     out = np.zeros(6 + 8 + 32)
     lines = text.count("\n") + 1
     size = len(text)
     out[:6] = [1.0, np.log1p(size), np.log1p(lines), np.log1p(size / lines), np.log1p(n_chars if n_chars and n_chars > 0 else 0), n_chars is None]
-    at = (hashes([f"lang={lang}", f"source={source}"]) % np.array([8, 32], np.uint64)).astype(np.int64)
+    at = (word_hashes([f"lang={lang}", f"source={source}"]) % np.array([8, 32], np.uint64)).astype(np.int64)
     out[6 + at[0]] = out[14 + at[1]] = 1.0
     return out
 
@@ -115,13 +115,12 @@ def co_train(x: list[np.ndarray], y: np.ndarray, held: np.ndarray, pool: list[np
 def _features(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id, content, metadata`` and the named columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             views = [[], []]
             for text, lang, source, n in zip(batch.column(1), *(batch.column(i).to_pylist() for i in (2, 3, 4))):
                 text = text.as_py()
-                views[0].append(content(text, hashes))
-                views[1].append(metadata(text, lang, source, n, hashes))
+                views[0].append(content(text))
+                views[1].append(metadata(text, lang, source, n))
             cols = [pa.array(v, pa.list_(pa.float64())) for v in views]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *cols, *batch.columns[5:]], names=["doc_id", "content", "metadata", *more])
@@ -148,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     if len(rows) < 20:
         return None
     y = rows._y.to_numpy() > 0
-    held = WordHashes()([str(i) for i in rows.doc_id]) % np.uint64(4) == 0
+    held = word_hashes([str(i) for i in rows.doc_id]) % np.uint64(4) == 0
     if any(len(np.unique(y[part])) < 2 for part in (held, ~held)):
         return None
     views = ["content", "metadata"]
@@ -165,13 +164,12 @@ def scored(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: i
     model = fit(docs, labels, labelled, pool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             a, b = [], []
             for text, lang, source, n in zip(batch.column(1), *(batch.column(i).to_pylist() for i in (2, 3, 4))):
                 text = text.as_py()
-                a.append(content(text, hashes))
-                b.append(metadata(text, lang, source, n, hashes))
+                a.append(content(text))
+                b.append(metadata(text, lang, source, n))
             if model and a:
                 p, q, s = model([np.stack(a), np.stack(b)])
             else:

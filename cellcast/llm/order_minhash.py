@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cellcast.llm.common import WordHashes, mix, shuffle_parts, staged, texts, unused
+from cellcast.llm.common import word_hashes, mix, shuffle_parts, staged, texts, unused
 from cellcast.llm.components import components
 
 WINDOW = 5
@@ -28,7 +28,8 @@ SKETCHES = 16
 SIMILARITY = 0.8
 NO_ID = (1 << 63) - 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SEEDS = mix(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+# Odd multipliers; windows are well mixed before, so that a product is order enough.
+_SEEDS = mix(np.arange(1, 1025, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
 def words_of(text: str) -> list[str]:
@@ -60,16 +61,20 @@ def order_keys(hashes: np.ndarray, sketches: int = SKETCHES) -> list[int]:
     own = windows(hashes)
     if not len(own):
         return []
-    keys = np.empty(sketches, dtype=np.uint64)
-    for t in range(sketches):
-        h = mix(own ^ _SEEDS[t])
-        if len(h) == 1:
-            a = b = h[0]
-        else:
-            i, j = sorted(np.argpartition(h, 1)[:2])
-            a, b = h[i], h[j]
-        keys[t] = mix(np.array([a], np.uint64) + _SEEDS[t] * np.uint64(3))[0] ^ mix(np.array([b], np.uint64) ^ _SEEDS[-1 - t])[0]
-    return mix(keys).view(np.int64).tolist()
+    n, step = len(own), max(1, 4_000_000 // len(own))
+    keys = []
+    for t in range(0, sketches, step):  # a few orders at a time for a long text
+        seeds = _SEEDS[t:min(t + step, sketches), None]
+        h = own * seeds
+        rows = np.arange(len(h))
+        one = h.argmin(axis=1)
+        a = h[rows, one]
+        h[rows, one] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        two = h.argmin(axis=1) if n > 1 else one
+        b = h[rows, two] if n > 1 else a
+        first, second = np.where(one <= two, a, b), np.where(one <= two, b, a)
+        keys.append(mix(mix(first ^ seeds[:, 0]) + second))
+    return np.concatenate(keys).view(np.int64).tolist()
 
 
 def _banded(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
@@ -150,13 +155,12 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
 def sketches(docs: DataFrame, count: int = SKETCHES) -> DataFrame:
     """``doc, h1, h2, keys``: the text's 128-bit digest and its order keys (none without words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             digests, keys = [], []
             for text in batch.column(1):
                 text = text.as_py()
                 digests.append(hashlib.md5(text.encode(), usedforsecurity=False).digest())
-                keys.append(order_keys(hashes(words_of(text)), count))
+                keys.append(order_keys(word_hashes(words_of(text)), count))
             halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(keys, pa.list_(pa.int64()))],
@@ -172,7 +176,6 @@ def _numbered(docs: DataFrame) -> DataFrame:
 def _sequences(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, words`` (32-bit word hashes) of the given nodes ``(node, h1, h2)`` only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             ids, out = [], []
             for node, h1, h2, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
@@ -180,7 +183,7 @@ def _sequences(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 if hashlib.md5(text.encode(), usedforsecurity=False).digest() != np.array([h1, h2], "<i8").tobytes():
                     continue  # another text under the same id
                 ids.append(node)
-                out.append((hashes(words_of(text)) >> np.uint64(32)).astype("<u4").tobytes())
+                out.append((word_hashes(words_of(text)) >> np.uint64(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["node", "words"])
 
     both = nodes.join(_numbered(docs), F.col("node") == F.col("doc")).select("node", "h1", "h2", "text")

@@ -8,14 +8,17 @@ among the documents of their length, which Spark computes in salted windows.
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from cellcast.llm.bpe_lexicon import byte_symbols
 from cellcast.llm.common import staged, texts
 
 CAPACITY = 2048
@@ -24,66 +27,65 @@ SALTS = 1024
 CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 # Characters that normalisation leaves as they are (but for case), so that a chunk can be split here.
 PLAIN = re.compile("[!-~¡-ɏ]+")
+WORD_END = b"\xff"
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-class ChunkEncoder:
-    """Ids of white-space separated chunks, as little-endian uint32 bytes, kept in bounded dictionaries.
+class ChunkEncoder(dict):
+    """Ids of white-space separated chunks, as little-endian uint32 bytes; chunks seen lately stay in this dictionary.
 
-    The tokenizer drops white space and no piece spans it, so a text's ids are those of its chunks in a row.
+    The tokenizer drops white space and no piece spans it, so a text's ids are those of its chunks in a row. Pieces are
+    merged by rank: a piece is its bytes and ``WORD_END``, a byte that no text has, for the end-of-word suffix.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         import regex
+        import tiktoken
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
         self.split = regex.compile(PIECE).findall
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
         self.most = most
+        self.pieces: dict[str, bytes] = {}
+        ranks = ranks_with_ends(path)
+        self.merge = tiktoken.Encoding("own", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def __missing__(self, chunk: str) -> bytes:
+        if PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            own = self.pieces
+            for p in (parts := self.split(chunk.lower())):
+                if p not in own:
+                    own[p] = array("I", self.merge(p.encode() + WORD_END)).tobytes()
+            out = b"".join([own[p] for p in parts])
+        else:
+            out = array("I", self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
+        self[chunk] = out
+        return out
 
-    def _ids(self, strings: list[str]) -> Iterator[tuple[str, bytes]]:
-        for i in range(0, len(strings), 4096):
-            part = strings[i:i + 4096]
-            for s, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                yield s, np.array(e.ids, dtype="<u4").tobytes()
-
-    def _learn(self, new: set[str]) -> None:
-        if len(self.chunks) + len(new) > self.most:
-            self.chunks.clear()
+    def encode(self, text: str) -> bytes:
+        if len(self) > self.most:
+            self.clear()
         if len(self.pieces) > self.most:
             self.pieces.clear()
-        whole, cut = [], {}
-        for c in new:
-            if PLAIN.fullmatch(c) and "<|" not in c:
-                cut[c] = self.split(c.lower())
-            else:
-                whole.append(c)
-        wanted = {p for ps in cut.values() for p in ps}
-        self.pieces.update(self._ids(list(wanted - self.pieces.keys())))
-        own = self.pieces
-        self.chunks.update((c, b"".join([own[p] for p in ps])) for c, ps in cut.items())
-        self.chunks.update(self._ids(whole))
-
-    def encode(self, text: str) -> bytes:
-        """One text, in slices of a million chunks, so that a very long one needs no more than its ids."""
-        words = CHUNK.findall(text)
-        out = []
-        for i in range(0, len(words), 1_000_000):
-            part = words[i:i + 1_000_000]
-            need = set(part)
-            new = need - self.chunks.keys()
-            if new:
-                if len(self.chunks) + len(new) > self.most:
-                    self.chunks.clear()
-                    new = need
-                self._learn(new)
-            own = self.chunks
-            out.append(b"".join([own[w] for w in part]))
-        return b"".join(out)
+        return b"".join(map(self.__getitem__, CHUNK.findall(text)))
+
+
+def ranks_with_ends(path: str) -> dict[bytes, int]:
+    """Token bytes to ids of a vocabulary with end-of-word suffixes; single bytes, then their ends, then merges by rank."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    symbols, suffix = byte_symbols(), model["end_of_word_suffix"]
+    ranks = {}
+    for token, i in model["vocab"].items():
+        ends = token.endswith(suffix) and len(token) > len(suffix)
+        raw = bytes(symbols[c] for c in (token[: -len(suffix)] if ends else token))
+        if WORD_END not in raw:
+            ranks[raw + WORD_END * ends] = i
+    ranks[WORD_END] = model["vocab"][next(c for c, b in symbols.items() if b == WORD_END[0])]  # never met alone
+    return ranks
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:

@@ -73,7 +73,7 @@ def text_stats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "grp", "text_hash", *counts])
 
     grp = F.to_json(F.struct(F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")))
-    rows = texts(docs, grp.alias("grp"), F.xxhash64("text").alias("text_hash"))
+    rows = texts(docs, grp.alias("grp"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
     out = rows.mapInArrow(run, "doc_id bigint, grp string, text_hash bigint, " + ", ".join(f"{c} bigint" for c in counts))
     share = lambda a, b: F.sqrt(F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0)))
     log_length = F.log(F.greatest(F.coalesce(F.try_divide(F.col("word_chars"), F.col("n_words")), F.lit(1.0)), F.lit(1.0)))
