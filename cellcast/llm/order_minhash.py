@@ -4,9 +4,8 @@ A document is its lower-cased words. Each of ``SKETCHES`` random orders picks th
 5-word windows and keeps them in text order; documents that agree in one such pair are candidates. A candidate pair is
 linked if its word alignment needs at most 0.2 edits for each word of the longer document (similarity 0.8 or more).
 
-Exact copies are one node. In a bucket every member meets the bucket's leader only; members unlike it go to the next
-round, where they meet leaders of their own, until each has met its like or all others. So a bucket of alike
-documents costs one comparison each, and no link within a bucket is given up for its size.
+Exact copies are one node. In a bucket every member meets the bucket's leader only; members unlike it go on in finer
+buckets with leaders of their own. So a round costs one comparison a member, however large a bucket is.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from cellcast.llm.components import components
 WINDOW = 5
 SKETCHES = 16
 SIMILARITY = 0.8
+FURTHER = [1, 5, 11]  # the sketches, counted from a bucket's first, that make it finer
 NO_ID = (1 << 63) - 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # Odd multipliers; windows are well mixed before, so that a product is order enough.
@@ -206,33 +207,67 @@ def _verified(pairs: DataFrame, sequences: DataFrame, similarity: float) -> Data
     return joined.mapInArrow(run, "node bigint, leader bigint, linked boolean")
 
 
+def _pairs(met: DataFrame, parts: int) -> DataFrame:
+    return met.select("node", "leader").distinct().repartition(parts, "node", "leader")
+
+
 def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links ``(node, leader)`` between the distinct texts ``nodes (node, h1, h2, keys)``."""
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    """Verified links ``(node, leader)`` between the distinct texts ``nodes (node, h1, h2, keys)``.
+
+    A round compares each member of a bucket with its leader, so it costs at most one comparison a row. Members unlike
+    their leader go on in finer buckets, which also agree in another sketch; texts that only share a passage part
+    there. What is still together when all sketches agree goes to ``_exhausted``.
+    """
+    parts = 4 * shuffle_parts(docs.sparkSession)
+    keyed = nodes.select("node", F.posexplode("keys").alias("t", "key")).select("node", "key", F.array("t").alias("path"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = staged(keyed.join(shared, "key"), "members")
-    own = nodes.join(members.select("node").distinct(), "node").select("node", "h1", "h2")
-    sequences = staged(_sequences(docs, own), "sequences")
+    own = nodes.join(members.select("node").distinct(), "node")
+    sequences = staged(_sequences(docs, own.select("node", "h1", "h2")), "sequences")
+    judged: list[DataFrame] = []
+    ends: list[DataFrame] = []
+    while not members.isEmpty():
+        leaders = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
+        met = members.join(leaders, "key").filter("node <> leader")
+        pairs = _pairs(met, parts)
+        if judged:
+            pairs = pairs.join(_union(judged).select("node", "leader"), ["node", "leader"], "left_anti")
+        judged.append(staged(_verified(pairs, sequences, similarity), "judged"))
+        unlike = met.join(_union(judged).filter("not linked").select("node", "leader"), ["node", "leader"])
+        unlike = unlike.select("node", "key", "path").join(nodes.select("node", "keys"), "node")
+        count = F.size("keys")
+        ends.append(staged(unlike.filter(F.size("path") >= count).select("node", "key"), "ends"))
+        step = F.explode(F.transform(F.array(*map(F.lit, FURTHER)), lambda o: (F.get("path", F.lit(0)) + o) % F.size("keys")))
+        finer = unlike.filter(F.size("path") < count).select("node", "keys", "path", step.alias("t"))
+        finer = finer.filter(~F.array_contains("path", F.col("t"))).select(
+            "node", "keys", F.sort_array(F.array_append("path", F.col("t"))).alias("path"))
+        key = F.xxhash64("path", F.transform("path", lambda i: F.get("keys", i)))
+        members = staged(finer.select("node", key.alias("key"), "path").distinct(), "members")
+    rest = _union(ends).distinct() if ends else members.select("node", "key")
+    links = [d.filter("linked").select("node", "leader") for d in judged]
+    links += _exhausted(rest, sequences, similarity, parts)
+    return _union(links) if links else members.select("node", F.col("node").alias("leader"))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _exhausted(members: DataFrame, sequences: DataFrame, similarity: float, parts: int) -> list[DataFrame]:
+    """Links within buckets that no sketch can split: each round has twice as many leaders, until all have met."""
     links, turn = [], 0
-    while True:
-        # One leader for each bucket at first; for what is unlike it, twice as many each round.
+    while not members.isEmpty():
         slot = F.pmod(F.xxhash64("node"), F.lit(1 << turn)).alias("slot")
         leaders = members.groupBy("key", slot).agg(F.min("node").alias("leader")).select("key", "leader")
         met = members.join(leaders, "key").filter("node <> leader")
-        pairs = met.select("node", "leader").distinct().repartition(4 * shuffle_parts(docs.sparkSession), "node", "leader")
-        judged = staged(_verified(pairs, sequences, similarity), "judged")
+        judged = staged(_verified(_pairs(met, parts), sequences, similarity), "judged")
         links.append(judged.filter("linked").select("node", "leader"))
         outcome = met.join(judged, ["node", "leader"]).groupBy("key", "node").agg(F.max("linked").alias("linked"))
-        left = outcome.filter("not linked").join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
+        led = leaders.select("key", F.col("leader").alias("node"))
+        left = outcome.filter("not linked").join(led, ["key", "node"], "left_anti")
         members = staged(left.select("node", "key"), "members")
-        # Alone in its bucket, a member has met all others' leaders.
-        if members.isEmpty():
-            break
         turn += 1
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out
+    return links
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
