@@ -10,6 +10,9 @@ from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType,
 from cellcast import fixed
 
 
+BLANKS = " \t\n\x0b\x0c\r"
+
+
 def plain_name(name: str) -> str:
     """Letters and digits of a column name, lower case."""
     return re.sub(r"[\W_]+", "", name).lower()
@@ -45,6 +48,6 @@ def to_day(column: Column, kind: DataType = StringType(), formats: list[str] | N
         return column
     if isinstance(kind, (TimestampType, TimestampNTZType)):
         return column.cast("date")
-    text = F.trim(column.cast("string"))
+    text = F.trim(column.cast("string"), F.lit(BLANKS))
     tried = [F.try_to_timestamp(text, F.lit(f)) for f in formats or fixed.DATE_FORMATS]
     return F.coalesce(*tried).cast("date")

@@ -31,12 +31,19 @@ def historical_rate(train: DataFrame) -> DataFrame:
     return sums.select("grid_id", (F.col("n") / days).alias("rate"))
 
 
+AGGREGATES = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "median": F.median}
+
+
+def per_cell_metrics(scored: DataFrame, metric: str, hows: list[str]) -> DataFrame:
+    """Several aggregates of a score per cell, named by their kind, in one pass."""
+    if unknown := [h for h in hows if h not in AGGREGATES]:
+        raise ValueError(f"unknown aggregate {unknown[0]!r}")
+    return scored.groupBy("grid_id").agg(*[AGGREGATES[h](metric).alias(h) for h in hows])
+
+
 def per_cell_metric(scored: DataFrame, metric: str, how: str = "mean") -> DataFrame:
     """One aggregate of a score per cell: mean, min, max, sum or median."""
-    functions = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum, "median": F.median}
-    if how not in functions:
-        raise ValueError(f"unknown aggregate {how!r}")
-    return scored.groupBy("grid_id").agg(functions[how](metric).alias("score"))
+    return per_cell_metrics(scored, metric, [how]).withColumnRenamed(how, "score")
 
 
 def normalize_minmax(df: DataFrame, value: str, out: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cellcast import fixed
-from cellcast.functions.text import pick_column, plain_name, to_day, to_number
+from cellcast.functions.text import BLANKS, pick_column, plain_name, to_day, to_number
 
 ROW_ID = "_row_id"
 
@@ -59,14 +59,14 @@ def standardize_weather(df: DataFrame, **override: str | None) -> DataFrame:
 
 
 def filter_field_values(df: DataFrame, fields: list[str], values: list[str]) -> DataFrame:
-    """Rows whose every field equals its value, ignoring case and outer blanks."""
+    """Rows whose every field equals its value, ignoring case and outer white space."""
     if len(fields) != len(values):
         raise ValueError("give one value per filter field")
     unknown = [f for f in fields if f not in df.columns]
     if unknown:
         raise ValueError(f"unknown filter field {unknown[0]}")
     for field, value in zip(fields, values):
-        df = df.filter(F.lower(F.trim(F.col(field).cast("string"))) == str(value).strip().lower())
+        df = df.filter(F.lower(F.trim(F.col(field).cast("string"), F.lit(BLANKS))) == str(value).strip().lower())
     return df
 
 
@@ -98,9 +98,8 @@ def is_fire(kind: Column) -> Column:
     text = kind.cast("string")
     named = F.coalesce(F.contains(F.lower(text), F.lit(fixed.FIRE_WORD)), F.lit(False))
     low, high = fixed.FIRE_CODE_RANGE
-    # Distance from the middle of the range: one mention, so one regex run per row.
     code = F.regexp_extract(text, r"(\d{3})", 1).try_cast("int")
-    return named | F.coalesce(F.abs(2 * code - (low + high)) <= high - low, F.lit(False))
+    return named | F.coalesce(code.between(low, high), F.lit(False))
 
 
 def filter_fire_types(df: DataFrame, column: str | None) -> DataFrame:

@@ -63,11 +63,12 @@ def sample_dates(df: DataFrame, n: int = 3) -> DataFrame:
     """n evenly spaced dates of the table, first and last included."""
     spark = df.sparkSession
     one = spark.range(1).select(dates_of(df).alias("dates")).withColumn("m", F.least(F.lit(n), F.size("dates")))
-    place = F.col("i") * ((F.size("dates") - 1) / F.greatest(F.col("m") - 1, F.lit(1)))
+    # Whole numbers: the last place is the last date exactly.
+    place = F.expr("i * (size(dates) - 1) div greatest(m - 1, 1)")
     return (
         one.filter("m > 0")
         .select("dates", "m", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("i"))
-        .select(F.get("dates", F.floor(place).cast("int")).alias("date"))
+        .select(F.get("dates", place.cast("int")).alias("date"))
     )
 
 

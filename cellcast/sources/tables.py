@@ -12,11 +12,15 @@ from cellcast import fixed
 GEOMETRY = "struct<type:string,coordinates:array<double>>"
 
 
-def read_table(spark: SparkSession, path: str, **geojson_options) -> DataFrame:
-    """Reader by suffix. CSV values stay text until they are coerced, so no inference pass is spent."""
+def read_table(spark: SparkSession, path: str, multi_line: bool = True, **geojson_options) -> DataFrame:
+    """Reader by suffix. CSV values stay text until they are coerced, so no inference pass is spent.
+
+    A quoted CSV value may hold line breaks; such a file is read by one task. Files known to have none
+    (``multi_line=False``) are split.
+    """
     suffix = PurePosixPath(path).suffix.lower()
     if suffix in (".csv", ".txt"):
-        return spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+        return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     if suffix == ".parquet":
         return spark.read.parquet(path)
     if suffix in (".geojson", ".json", ".geojsonl"):
@@ -33,10 +37,7 @@ def read_geojson_points(spark: SparkSession, path: str, properties: str | None =
     """
     feature = f"type string, properties struct<{properties}>, geometry {GEOMETRY}" if properties else None
     if lines:
-        reader = spark.read.option("mode", "DROPMALFORMED")
-        if feature:
-            reader = reader.schema(feature)
-        features = reader.json(path).filter("type = 'Feature'").select(F.struct("properties", "geometry").alias("f"))
+        features = _feature_lines(spark, path, feature)
     else:
         reader = spark.read.option("multiLine", True)
         if feature:
@@ -52,6 +53,24 @@ def read_geojson_points(spark: SparkSession, path: str, properties: str | None =
     )
 
 
+def _feature_lines(spark: SparkSession, path: str, feature: str | None) -> DataFrame:
+    """One struct ``f`` for each line with a feature; a line that is neither a feature nor part of a collection's frame fails.
+
+    A line is parsed as one value, so the outcome does not depend on the columns that are read later.
+    """
+    line = F.rtrim(F.trim(F.col("value"), F.lit(" \t\r\ufeff")), F.lit(", \t\r"))
+    lines = spark.read.text(path).select(line.alias("line"))
+    # The frame: the collection's opening (its own members, up to the feature list) and its closing.
+    opening = r'^\{?\s*("type"\s*:\s*"FeatureCollection".*|"(name|crs|features|bbox)"\s*:.*)?\[?$'
+    frame = F.col("line").rlike(r"^[\[\]{}]*$") | (F.col("line").rlike(opening) & ~F.col("line").rlike(r'"type"\s*:\s*"Feature"'))
+    rows = lines.filter(~frame)
+    # Without given properties the schema is inferred; a line that does not fit it still fails below.
+    kind = feature or spark.read.option("mode", "DROPMALFORMED").json(path).schema
+    parsed = rows.select(F.from_json("line", kind, {"mode": "FAILFAST"}).alias("f"))
+    is_feature = F.when(F.col("f.type") == "Feature", True).otherwise(F.raise_error(F.lit("a line is not a GeoJSON feature")).cast("boolean"))
+    return parsed.filter(is_feature)
+
+
 def read_columnar_weather(spark: SparkSession, path: str) -> DataFrame:
     """Weather response whose ``daily`` object holds parallel arrays -> one row per day."""
     document = spark.read.option("multiLine", True).json(path)

@@ -294,11 +294,11 @@ def split_temporal(spark, d):
     return split.split_temporal(model(spark, d)).select("grid_id", "date", "split")
 
 
-@query("lookup_cell_score", f"SELECT t.grid_id, t.date, {r6('coalesce(h.score, 0)', 'hotspot_prob')} FROM test t LEFT JOIN (SELECT * FROM hotspot WHERE score < 0.5) h USING (grid_id)")
+@query("lookup_cell_score", f"SELECT t.grid_id, t.date, {r6('coalesce(h.score, 0)', 'hotspot_prob')} FROM test t LEFT JOIN hotspot h USING (grid_id)")
 def lookup_cell_score(spark, d):
     train, test = train_test(spark, d)
-    some = hotspot.hotspot_kde(train, views.kept(spark, d, "centroids")).filter("score < 0.5")
-    return split.lookup_cell_score(test, some, "hotspot_prob").select("grid_id", "date", "hotspot_prob")
+    scores = hotspot.hotspot_kde(train, views.kept(spark, d, "centroids"))
+    return split.lookup_cell_score(test, scores, "hotspot_prob").select("grid_id", "date", "hotspot_prob")
 
 
 BUSY_SQL = "SELECT grid_id FROM (SELECT DISTINCT grid_id FROM train WHERE incident_count > 0 AND date <= DATE '2024-01-12')"
@@ -358,11 +358,10 @@ def actual_vs_predicted_day(spark, d):
 @query("nearest_date", """
 SELECT row_id, date, nearest FROM (
   SELECT i.row_id, i.date, s.date AS nearest, row_number() OVER (PARTITION BY i.row_id ORDER BY abs(date_diff('day', s.date, i.date)), s.date) AS rn
-  FROM clean_inc i CROSS JOIN (SELECT DISTINCT date FROM scored WHERE isodow(date) <> 7) s) WHERE rn = 1
+  FROM clean_inc i CROSS JOIN (SELECT DISTINCT date FROM scored) s) WHERE rn = 1
 """)
 def nearest_date(spark, d):
-    weekdays = scored(spark, d).filter(F.weekday("date") != 6)
-    return read_views.nearest_date(located(spark, d).select("row_id", "date"), split.dates_of(weekdays))
+    return read_views.nearest_date(located(spark, d).select("row_id", "date"), split.dates_of(scored(spark, d)))
 
 
 SNAPSHOT_SQL = "\nUNION ALL\n".join(
@@ -410,11 +409,7 @@ def historical_rate(spark, d):
 
 @query("per_cell_metric", f"SELECT grid_id, {r6('avg(rf_prob)', 'mean')}, {r6('median(rf_prob)', 'median')}, {r6('max(rf_prob)', 'max')}, {r6('min(rf_prob)', 'min')}, {r6('sum(rf_prob)', 'sum')} FROM scored GROUP BY grid_id")
 def per_cell_metric(spark, d):
-    rows, out = scored(spark, d), None
-    for how in ("mean", "median", "max", "min", "sum"):
-        one = aggregates.per_cell_metric(rows, "rf_prob", how).withColumnRenamed("score", how)
-        out = one if out is None else out.join(one, "grid_id")
-    return out
+    return aggregates.per_cell_metrics(scored(spark, d), "rf_prob", ["mean", "median", "max", "min", "sum"])
 
 
 @query("normalize_minmax", f"SELECT grid_id, {r6('(rate - min(rate) OVER ()) / (max(rate) OVER () - min(rate) OVER () + 1e-12)', 'score')} FROM rates")
@@ -580,7 +575,7 @@ def select_explain_rows(spark, d):
 
 @query("sample_dates", """
 SELECT date FROM (SELECT date, row_number() OVER (ORDER BY date) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT date FROM model))
-WHERE i IN (SELECT CAST(floor(j * ((n - 1) / CAST(6 AS DOUBLE))) AS BIGINT) FROM range(0, 7) AS r(j))
+WHERE i IN (SELECT j * (n - 1) // 6 FROM range(0, 7) AS r(j))
 """)
 def sample_dates(spark, d):
     return sampling.sample_dates(model(spark, d), 7)

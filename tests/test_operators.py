@@ -384,3 +384,25 @@ def test_csv_round_trip(spark, tmp_path):
     files.write_csv_results(df, str(tmp_path / "r.csv"))
     assert sorted(files.read_csv_results(spark, str(tmp_path / "r.csv"), df.schema).collect()) == sorted(df.collect())
     assert files.read_table(spark, str(tmp_path / "r.csv")).dtypes == [("grid_id", "string"), ("date", "string"), ("p", "string"), ("text", "string")]
+
+
+def test_feature_lines_fail_instead_of_vanishing(spark, tmp_path):
+    good = '{"type": "Feature", "properties": {"a": "x", "s": 1.5}, "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}'
+    for i, bad in enumerate((good.replace("1.5", '"text"'), good[:60])):
+        path = tmp_path / f"bad{i}.geojsonl"
+        path.write_text(good + "\n" + bad + "\n")
+        for columns in (["a", "s"], ["a"]):
+            with pytest.raises(Exception):
+                files.read_table(spark, str(path), properties="a: string, s: double").select(*columns).collect()
+
+
+def test_csv_values_keep_their_line_breaks(spark, tmp_path):
+    text = "".join(f'"{t}",{n}\n' for t, n in (("a\nb", 1), ("c", 2)))
+    (tmp_path / "one.csv").write_text("t,n\n" + text)
+    assert sorted(map(tuple, files.read_table(spark, str(tmp_path / "one.csv")).collect())) == [("a\nb", "1"), ("c", "2")]
+
+
+def test_sample_dates_ends_on_the_last(spark):
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-16')) AS date")
+    got = sorted(r[0].day for r in sampling.sample_dates(days, 12).collect())
+    assert len(got) == 12 and got[0] == 1 and got[-1] == 16
