@@ -12,6 +12,7 @@ from cellcast.functions.arma import fit_forecast
 from cellcast.operators.aggregates import cell_activity, historical_rate, normalize_max
 from cellcast.operators.sampling import select_active_cells
 from cellcast.operators.split import dates_of, lookup_forecast
+from cellcast.session import staged
 
 FIT = StructType([StructField("aic", DoubleType()), StructField("forecast", ArrayType(DoubleType()))])
 
@@ -62,7 +63,9 @@ def arima_predict(test: DataFrame, forecasts: DataFrame, rates: DataFrame, alarm
     return found.withColumn("arima_pred", (F.col("arima_forecast") >= alarm).cast("int"))
 
 
-def train_and_predict(train: DataFrame, test: DataFrame) -> DataFrame:
-    cells = select_active_cells(cell_activity(train))
-    forecasts = arima_grid_forecast(train, cells, dates_of(test))
-    return arima_predict(test, forecasts, historical_rate(train))
+def train_and_predict(train: DataFrame, test: DataFrame, min_days: int = fixed.ARIMA["min_nonzero_days"], most: int = fixed.ARIMA["max_cells"],
+                      grid: list[tuple[int, int, int]] | None = None, alarm: float = fixed.ARIMA["alarm"]) -> DataFrame:
+    """Choice of cells, fits and lookup. The forecasts are written once, since the lookup reads them twice."""
+    cells = select_active_cells(cell_activity(train), min_days, most)
+    forecasts = staged(arima_grid_forecast(train, cells, dates_of(test), grid), "forecasts")
+    return arima_predict(test, forecasts, historical_rate(train), alarm)

@@ -8,9 +8,10 @@ from cellcast import fixed
 from cellcast.operators.aggregates import cell_totals, normalize_minmax
 from cellcast.operators.grid import scalar
 from cellcast.operators.split import lookup_cell_score
+from cellcast.session import staged
 
 BLOCK = 32  # a pack holds the sources of at most BLOCK x BLOCK grid cells
-SALTS = 8  # targets of one tile are spread over this many join keys
+PER_KEY = 256  # about so many targets of a tile share one join key
 
 
 def bandwidth(sources: DataFrame) -> DataFrame:
@@ -68,9 +69,9 @@ def kernel_density(targets: DataFrame, sources: DataFrame) -> DataFrame:
 
     Every target needs every source within reach, so the work is inherently their product; what is
     avoided is planning it as one: sources are packed by grid block (at most BLOCK^2 of them, so a pack
-    is bounded), packs go to the neighbouring tiles, targets meet packs by an equi-join on tile and
-    salt, and each row folds a whole pack inside one expression. Pairs are never rows. Tiles one reach
-    wide make the neighbourhood exact to the last bit of a double.
+    is bounded), packs go to those neighbouring tiles that hold targets, targets meet packs by an equi-join
+    on tile and salt, and each row folds a whole pack inside one expression. Pairs are never rows. A tile has
+    as many salts as its own targets need. Tiles one reach wide make the neighbourhood exact to the last bit of a double.
     """
     kernel = scalar(bandwidth(sources))
     packed = (
@@ -79,11 +80,15 @@ def kernel_density(targets: DataFrame, sources: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("p", "q", F.col("w").cast("double").alias("w"))).alias("pack"))
     )
     sent = packed.select("pack", _near("tile_p").alias("tile_p"), "tile_q").select("pack", "tile_p", _near("tile_q").alias("tile_q"))
-    sent = sent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # Targets are small rows with much work each: an explicit count keeps them spread over all cores.
     tasks = 2 * targets.sparkSession.sparkContext.defaultParallelism
-    spread = _white(targets.repartition(tasks).withColumn("_k", kernel)).withColumn("salt", F.pmod(F.hash("grid_id"), F.lit(SALTS)))
-    met = spread.select("grid_id", "p", "q", F.col("_k.k").alias("k"), "tile_p", "tile_q", "salt").join(sent, ["tile_p", "tile_q", "salt"])
+    tile = ["tile_p", "tile_q"]
+    placed = _white(targets.repartition(tasks).withColumn("_k", kernel)).select("grid_id", "p", "q", F.col("_k.k").alias("k"), *tile)
+    # One small row per tile with targets.
+    tiles = placed.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PER_KEY).cast("int").alias("salts"))
+    spread = placed.join(tiles, tile).withColumn("salt", F.pmod(F.hash("grid_id"), F.col("salts"))).drop("salts")
+    sent = sent.join(tiles, tile).select("pack", *tile, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    met = spread.join(sent, [*tile, "salt"])
 
     def weight(s: Column) -> Column:
         dp, dq = F.col("p") - s["p"], F.col("q") - s["q"]
@@ -96,12 +101,15 @@ def kernel_density(targets: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def hotspot_kde(train: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Min-max scaled density (grid_id, score) of every grid cell; no rows without usable incidents."""
+    """Min-max scaled density (grid_id, score) of every grid cell; no rows without usable incidents.
+
+    The density, one row per cell, is written when this is called: scaling reads it twice, and the fold runs once.
+    """
     totals = cell_totals(train, centroids).filter("incident_count > 0")
     position = [F.col("lat_center").alias("lat"), F.col("lon_center").alias("lon")]
     targets = centroids.select("grid_id", "cell_row", "cell_col", *position)
     sources = totals.select("grid_id", "cell_row", "cell_col", *position, F.col("incident_count").alias("w"))
-    return normalize_minmax(kernel_density(targets, sources), "density", "score").select("grid_id", "score")
+    return normalize_minmax(staged(kernel_density(targets, sources), "density"), "density", "score").select("grid_id", "score")
 
 
 def threshold(i: Column) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cellcast.session import staged
+
 CUT_LEVELS = 8  # 2^8 buckets per group
 
 
@@ -89,18 +91,17 @@ def exact_quantiles(df: DataFrame, value: str, at: list[float]) -> DataFrame:
     ])
 
 
-def rank_by_text(keys: DataFrame, key: str, prefix: int = 6) -> DataFrame:
+def rank_by_text(keys: DataFrame, key: str) -> DataFrame:
     """Distinct texts with their 0-based alphabetic rank.
 
-    Texts are ranked inside buckets of equal prefix; prefix counts supply the offsets. With ids of the
-    form r<row>_c<col> a bucket is about one grid row.
+    A range sort deals the texts out evenly, whatever they begin with; it is written once, so that each text keeps its
+    range. Ranks run inside a range, and the sizes of the ranges before it (at most one per shuffle partition) are added.
     """
-    distinct = keys.select(key).distinct().withColumn("_prefix", F.left(F.col(key), F.lit(prefix)))
-    sizes = distinct.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per prefix: the only unpartitioned window, over the reduced side.
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_prefix", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_prefix").orderBy(key)
-    return distinct.join(offsets, "_prefix").select(
-        key, (F.col("_offset") + F.row_number().over(inside) - 1).cast("int").alias("rank")
-    )
+    ranged = keys.select(key).distinct().repartitionByRange(key).withColumn("_range", F.spark_partition_id())
+    ranged = staged(ranged, "ranges")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    all_sizes = sizes.agg(F.collect_list(F.struct("_range", "n")).alias("sizes")).scalar()
+    before = F.filter("_sizes", lambda s: s["_range"] < F.col("_range"))
+    offset = F.aggregate(before, F.lit(0).cast("bigint"), lambda total, s: total + s["n"])
+    inside = Window.partitionBy("_range").orderBy(key)
+    return ranged.withColumn("_sizes", all_sizes).select(key, (offset + F.row_number().over(inside) - 1).cast("int").alias("rank"))

@@ -46,17 +46,26 @@ def select_explain_rows(scored: DataFrame, score: str = "rf_prob", high: int = f
                         mid: int = fixed.EXPLAIN_SETTINGS["mid"], low: int = fixed.EXPLAIN_SETTINGS["low"],
                         low_pool: int = fixed.EXPLAIN_SETTINGS["low_pool"],
                         band: tuple[float, float] = fixed.EXPLAIN_SETTINGS["band"]) -> DataFrame:
-    """High, middle and low scores worth explaining; a row chosen twice stays in its first stratum."""
+    """High, middle and low scores worth explaining, with ``stratum`` and ``position`` (1, 2, ... in order of choice).
+
+    High ones are chosen by score, the others in the order of their sample; a row chosen twice stays in its first stratum.
+    """
+    drawn = [sample_order(ROW_KEY), *ROW_KEY]
     strata = {
-        "high": topk_rows(scored, score, high),
-        "mid": sample_n(quantile_band(scored, score, *band), mid),
-        "low": sample_n(topk_rows(scored, score, low_pool, largest=False), low),
+        "high": (topk_rows(scored, score, high), [F.desc(score), "date", "grid_id"]),
+        "mid": (sample_n(quantile_band(scored, score, *band), mid), drawn),
+        "low": (sample_n(topk_rows(scored, score, low_pool, largest=False), low), drawn),
     }
-    named = [df.withColumns({"stratum": F.lit(name), "_rank": F.lit(i)}) for i, (name, df) in enumerate(strata.items())]
     # At most high + mid + low rows from here on.
-    first = Window.partitionBy(*ROW_KEY).orderBy("_rank")
+    named = [
+        df.withColumns({"stratum": F.lit(name), "_rank": F.lit(i), "_place": F.row_number().over(Window.partitionBy(F.lit(i)).orderBy(*order))})
+        for i, (name, (df, order)) in enumerate(strata.items())
+    ]
     together = reduce(DataFrame.unionByName, named)
-    return together.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n", "_rank")
+    first = Window.partitionBy(*ROW_KEY).orderBy("_rank")
+    chosen = together.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_rank", "_place")).alias("position")
+    return chosen.select(*scored.columns, "stratum", place)
 
 
 def sample_dates(df: DataFrame, n: int = 3) -> DataFrame:

@@ -50,10 +50,12 @@ def grid_cells(frame: Frame, size: float = 1000.0) -> DataFrame:
 
 
 def cell_day_table(raw: DataFrame, weather_raw: DataFrame, size: float = 1000.0, horizon: int = 1,
-                   country: str = "US", weather_columns: dict | None = None, **options) -> DataFrame:
+                   country: str = "US", weather_columns: dict | None = None, calendar_days: DataFrame | None = None,
+                   **options) -> DataFrame:
+    """``calendar_days`` (date) replaces the country's holiday rules."""
     incidents, frame = located_incidents(raw, size, **options)
     weather = clean.clean_weather(clean.standardize_weather(weather_raw, **(weather_columns or {})))
-    return daily.build_cell_days(incidents, weather, horizon, country, days=frame.bounds)
+    return daily.build_cell_days(incidents, weather, horizon, country, calendar_days, frame.bounds)
 
 
 def model_table(raw: DataFrame, weather_raw: DataFrame, **options) -> DataFrame:
@@ -69,7 +71,8 @@ class Tables:
 
 
 def build_tables(raw: DataFrame, weather_raw: DataFrame, out: str, size: float = 1000.0, horizon: int = 1,
-                 country: str = "US", weather_columns: dict | None = None, **options) -> Tables:
+                 country: str = "US", weather_columns: dict | None = None, calendar_days: DataFrame | None = None,
+                 **options) -> Tables:
     """The batch job: every product is written once and the next step reads it back, so the raw input
     is scanned once for the rows and once for the bounds, whatever comes after."""
     from cellcast.sources import tables as sink
@@ -85,7 +88,7 @@ def build_tables(raw: DataFrame, weather_raw: DataFrame, out: str, size: float =
     cells = grid_cells(frame, size)
     sink.write_grid_geojson(cells, f"{out}/grid_cells.geojsonl")
     weather = clean.clean_weather(clean.standardize_weather(weather_raw, **(weather_columns or {})))
-    days = daily.build_cell_days(incidents, weather, horizon, country, days=frame.bounds)
+    days = daily.build_cell_days(incidents, weather, horizon, country, calendar_days, frame.bounds)
     by_month = days.withColumn("part_month", F.trunc("date", "month"))
     sink.write_parquet(by_month, f"{out}/cell_day_table.parquet", ["part_month"])
     cell_days = spark.read.schema(by_month.schema).parquet(f"{out}/cell_day_table.parquet").drop("part_month")

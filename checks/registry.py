@@ -296,34 +296,29 @@ def split_temporal(spark, d):
 
 @query("lookup_cell_score", f"SELECT t.grid_id, t.date, {r6('coalesce(h.score, 0)', 'hotspot_prob')} FROM test t LEFT JOIN hotspot h USING (grid_id)")
 def lookup_cell_score(spark, d):
-    train, test = train_test(spark, d)
-    scores = hotspot.hotspot_kde(train, views.kept(spark, d, "centroids"))
-    return split.lookup_cell_score(test, scores, "hotspot_prob").select("grid_id", "date", "hotspot_prob")
-
-
-BUSY_SQL = "SELECT grid_id FROM (SELECT DISTINCT grid_id FROM train WHERE incident_count > 0 AND date <= DATE '2024-01-12')"
+    _, test = train_test(spark, d)
+    return split.lookup_cell_score(test, views.kept(spark, d, "hotspot"), "hotspot_prob").select("grid_id", "date", "hotspot_prob")
 
 
-@query("encode_grid_id", f"""
+@query("encode_grid_id", """
 SELECT t.grid_id, t.date, CAST(coalesce(c.code, -1) AS INTEGER) AS grid_id_enc FROM test t LEFT JOIN (
-  SELECT grid_id, row_number() OVER (ORDER BY grid_id) - 1 AS code FROM ({BUSY_SQL})) c USING (grid_id)
+  SELECT grid_id, row_number() OVER (ORDER BY grid_id) - 1 AS code FROM (SELECT DISTINCT grid_id FROM train)) c USING (grid_id)
 """)
 def encode_grid_id(spark, d):
     train, test = train_test(spark, d)
-    early = train.filter("incident_count > 0 AND date <= DATE '2024-01-12'")
-    return split.encode_grid_id(test, split.cell_codes(early)).select("grid_id", "date", "grid_id_enc")
+    return split.encode_grid_id(test, split.cell_codes(train)).select("grid_id", "date", "grid_id_enc")
 
 
 @query("lookup_forecast", """
 SELECT t.grid_id, t.date, round(CASE WHEN a.grid_id IS NOT NULL THEN coalesce(f.forecast, 0) ELSE coalesce(r.rate, 0) END, 6) + 0.0 AS arima_forecast
 FROM test t LEFT JOIN active a ON a.grid_id = t.grid_id LEFT JOIN rates r ON r.grid_id = t.grid_id
-LEFT JOIN (SELECT m.grid_id, m.date, m.lag_7 / 2 AS forecast FROM test m JOIN active n ON n.grid_id = m.grid_id WHERE m.day_of_week < 5) f
+LEFT JOIN (SELECT m.grid_id, m.date, m.lag_7 / 2 AS forecast FROM test m JOIN active n ON n.grid_id = m.grid_id) f
   ON f.grid_id = t.grid_id AND f.date = t.date
 """)
 def lookup_forecast(spark, d):
     train, test = train_test(spark, d)
     cells = sampling.select_active_cells(aggregates.cell_activity(train))
-    known = test.join(F.broadcast(cells.select("grid_id")), "grid_id").filter("day_of_week < 5")
+    known = test.join(F.broadcast(cells.select("grid_id")), "grid_id")
     forecasts = known.select("grid_id", "date", (F.col("lag_7") / 2).alias("forecast"))
     return split.lookup_forecast(test, forecasts, aggregates.historical_rate(train)).select("grid_id", "date", "arima_forecast")
 
@@ -567,10 +562,12 @@ cte("strata", f"""
 
 
 @query("select_explain_rows", """
-SELECT grid_id, date, stratum FROM (SELECT *, row_number() OVER (PARTITION BY grid_id, date ORDER BY r) AS n FROM strata) WHERE n = 1
+SELECT grid_id, date, stratum, CAST(row_number() OVER (ORDER BY r, CASE WHEN r = 0 THEN -rf_prob END, CASE WHEN r > 0 THEN md5('42|' || grid_id || '|' || CAST(date AS VARCHAR)) END,
+    CASE WHEN r = 0 THEN date END, grid_id, date) AS INTEGER) AS position
+FROM (SELECT *, row_number() OVER (PARTITION BY grid_id, date ORDER BY r) AS n FROM strata JOIN scored USING (grid_id, date)) WHERE n = 1
 """)
 def select_explain_rows(spark, d):
-    return sampling.select_explain_rows(scored(spark, d)).select("grid_id", "date", "stratum")
+    return sampling.select_explain_rows(scored(spark, d)).select("grid_id", "date", "stratum", "position")
 
 
 @query("sample_dates", """
@@ -618,14 +615,15 @@ def hotspot_kde(spark, d):
 
 @query("best_f1_threshold", f"SELECT {r6('threshold', 'threshold')}, {r6('f1', 'f1')} FROM hotspot_limit")
 def best_f1_threshold(spark, d):
-    train, _ = train_test(spark, d)
-    return hotspot.hotspot_threshold(train, hotspot.hotspot_kde(train, views.kept(spark, d, "centroids")))
+    return hotspot.hotspot_threshold(train_test(spark, d)[0], views.kept(spark, d, "hotspot"))
 
 
 @query("hotspot_predict", "SELECT grid_id, date, hotspot_prob, hotspot_pred FROM scored")
 def hotspot_predict(spark, d):
     train, test = train_test(spark, d)
-    return scoring.score_hotspot(train, test, views.kept(spark, d, "centroids")).select("grid_id", "date", "hotspot_prob", "hotspot_pred")
+    scores = views.kept(spark, d, "hotspot")
+    limit = hotspot.hotspot_threshold(train, scores).select("threshold").scalar()
+    return hotspot.hotspot_predict(test, scores, limit).select("grid_id", "date", "hotspot_prob", "hotspot_pred")
 
 
 @query("class_weights", f"""
@@ -759,7 +757,7 @@ def shap_waterfall(spark, d):
 @query("explain_predictions")
 def explain_predictions(spark, d):
     out = scoring.explain_predictions(train_test(spark, d)[1], views.fitted(spark, d))
-    return out.select(*scoring.explanation_columns())
+    return out.rows.select(*scoring.explanation_columns())
 
 
 @query("score_pipeline")

@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellcast import fixed
-from cellcast.operators import aggregates, explain, forest, grid, sampling
+from cellcast.operators import aggregates, explain, forest, grid, hotspot, sampling
 from cellcast.operators.clean import ROW_ID
 from cellcast.plans import scoring, tables
 from cellcast.session import staged
@@ -134,6 +134,7 @@ _BUILD.update({
     "located": lambda spark, d: tables.located_incidents(kept(spark, d, "incidents"), **CITY)[0],
     "centroids": lambda spark, d: grid.cell_centroids(cells(spark, d)),
     "scored": scored_test,
+    "hotspot": lambda spark, d: hotspot.hotspot_kde(scoring.split_model_table(kept(spark, d, "model"))[0], kept(spark, d, "centroids")),
 })
 
 

@@ -104,9 +104,8 @@ def test_one_cell_with_a_third_of_all_incidents(spark):
 
 
 def test_every_listed_query_has_its_sql():
-    queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-    assert set(oracles) <= set(queries)
-    assert set(queries) - set(oracles) == MODEL_ONLY
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+    assert set(registry.QUERIES) - set(registry.ORACLES) == MODEL_ONLY
 
 
 def test_entry(spark):
