@@ -265,109 +265,6 @@ def build_lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON) -> str:
     return _publish(docs.sparkSession, compile_lexicon((w, vocabulary.merge(w)) for w in words))
 
 
-def encoded(self, row: int) -> bytes:
-        return self.ids[self.offsets[row]:self.offsets[row + 1]].tobytes()
-
-
-class Encoder:
-    """Ids of texts as little-endian uint32 bytes; chunks seen lately are kept in a bounded dictionary."""
-
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon, most: int = 300_000):
-        self.vocabulary, self.lexicon, self.most = vocabulary, lexicon, most
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, new: set[str]) -> None:
-        split = self.vocabulary.split
-        cut = {c: split(c) for c in new}
-        wanted = list({w for ws in cut.values() for w in ws}.difference(self.words))
-        raw = [w.encode() for w in wanted]
-        for word, b, row in zip(wanted, raw, self.lexicon.rows(raw).tolist()):
-            if row >= 0:
-                self.words[word] = self.lexicon.encoded(row)
-            else:
-                self.words[word] = array("I", self.vocabulary.merge(b)).tobytes()
-        own = self.words
-        self.chunks.update((c, b"".join([own[w] for w in ws])) for c, ws in cut.items())
-
-    def learn(self, texts: list[str]) -> list[list[str]]:
-        """The chunks of some texts, all of them known afterwards: their new words are looked up together."""
-        found = [CHUNK.findall(t) for t in texts]
-        need = set().union(*found)
-        new = need.difference(self.chunks)
-        if len(self.chunks) + len(new) > self.most:
-            self.chunks.clear()
-            self.words.clear()
-            new = need
-        self._learn(new)
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text. Added tokens' strings cut a text; what lies between is ordinary text."""
-        added, cut = self.vocabulary.added, self.vocabulary.cut
-        parts = [cut(t) if any(a in t for a in added) else [t] for t in texts]
-        found = iter(self.learn([p for ps in parts for p in ps if p not in added]))
-        get = self.chunks.__getitem__
-        return [b"".join(array("I", [added[p]]).tobytes() if p in added else b"".join(map(get, next(found))) for p in ps) for ps in parts]
-
-
-def in_slices(column: pa.Array, chars: int = 1_000_000) -> Iterator[list[str]]:
-    """The texts of a column, about so many characters at a time."""
-    out, size = [], 0
-    for text in column:
-        out.append(text.as_py())
-        size += len(out[-1])
-        if size >= chars:
-            yield out
-            out, size = [], 0
-    if out:
-        yield out
-
-
-def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """``word, n`` over the whole corpus, added up in each task (and flushed when its dictionary is full) before it moves."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = Vocabulary(tokenizer).split
-
-        def flush(chunks: Counter) -> pa.RecordBatch:
-            words: Counter = Counter()
-            for c, n in chunks.items():
-                for w in split(c):
-                    words[w] += n
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
-
-        chunks: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(1):
-                chunks.update(CHUNK.findall(text.as_py()))
-                if len(chunks) > 1_000_000:
-                    yield flush(chunks)
-                    chunks.clear()
-        yield flush(chunks)
-
-    return texts(docs).mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _publish(spark: SparkSession, flat: np.ndarray) -> str:
-    """Writes the lexicon to the shared folder and has Spark copy it to every executor; returns its file name."""
-    name = f"lexicon-{uuid.uuid4().hex}.i4"
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(flat.tobytes()))
-    out.close()
-    spark.sparkContext.addFile(path.toString())
-    return name
-
-
-def build_lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON) -> str:
-    """Compiles the ``size`` most frequent words (ties by the word) and publishes them."""
-    top = word_counts(docs, tokenizer).orderBy(F.desc("n"), "word").limit(size).collect()
-    vocabulary = Vocabulary(tokenizer)
-    words = sorted(r["word"].encode() for r in top if len(r["word"]) <= 200)
-    return _publish(docs.sparkSession, compile_lexicon((w, vocabulary.merge(w)) for w in words))
-
-
 def encoded(docs: DataFrame, tokenizer: str, size: int = LEXICON, keep: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256[, ids, decoded]`` for every row; a null text is empty."""
     name = build_lexicon(docs, tokenizer, size)
