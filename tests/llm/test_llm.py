@@ -130,6 +130,16 @@ def test_quality_model_against_numpy(spark):
     assert np.allclose([got[i].distance for i in sorted(got)], d, rtol=1e-6)
 
 
+def test_one_repeated_line_is_no_outlier_but_many_symbols_are(spark):
+    rng = random.Random(12)
+    rows = [(i, "\n".join(prose(rng, 40) for _ in range(3)), "en", "s", 0) for i in range(100)]
+    line = prose(rng, 9)
+    rows += [(500 + i, f"{prose(rng, 50)}\n{line}\n{line}\n{prose(rng, 40)}", "en", "s", 0) for i in range(5)]
+    rows += [(600 + i, " | ".join(prose(rng, 80).split()), "en", "s", 0) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert {r.doc_id for r in quality_rules.judged(docs).filter("not kept").collect()} == set(range(600, 605))
+
+
 def test_accepted_keeps_columns(docs, empty):
     out = quality_rules.accepted(docs)
     assert out.columns == docs.columns
