@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cellcast.operators import clean, daily, grid
+from cellcast.session import staged
 
 
 @dataclass
@@ -37,10 +38,15 @@ def place(incidents: DataFrame, frame: Frame, size: float = 1000.0) -> DataFrame
     return grid.assign_grid_cell(grid.project_utm(incidents, frame.bounds), size, frame.extent)
 
 
-def located_incidents(raw: DataFrame, size: float = 1000.0, **options) -> tuple[DataFrame, Frame]:
+def located_incidents(raw: DataFrame, size: float = 1000.0, only: list[str] | None = None, **options) -> tuple[DataFrame, Frame]:
+    """Clean incidents in their cells. With ``only``, the raw rows are parsed once: these columns of the valid rows (and what
+    identifies and places them) are written to the shared folder when called, and bounds, extent and rows are read from there."""
     if clean.ROW_ID not in raw.columns:
         raw = clean.with_row_id(raw)
     valid = clean.valid_incidents(raw, **options)
+    if only is not None:
+        needed = [*clean.identity_columns(valid.columns), "date", "latitude", "longitude", clean.ROW_ID, *only]
+        valid = staged(valid.select(*dict.fromkeys(needed)), "valid-incidents")
     frame = frame_of(valid, size)
     return place(clean.dedupe_incidents(valid), frame, size), frame
 
@@ -52,8 +58,8 @@ def grid_cells(frame: Frame, size: float = 1000.0) -> DataFrame:
 def cell_day_table(raw: DataFrame, weather_raw: DataFrame, size: float = 1000.0, horizon: int = 1,
                    country: str = "US", weather_columns: dict | None = None, calendar_days: DataFrame | None = None,
                    **options) -> DataFrame:
-    """``calendar_days`` (date) replaces the country's holiday rules."""
-    incidents, frame = located_incidents(raw, size, **options)
+    """``calendar_days`` (date) replaces the country's holiday rules. The raw incidents are read once, when called."""
+    incidents, frame = located_incidents(raw, size, only=[], **options)
     weather = clean.clean_weather(clean.standardize_weather(weather_raw, **(weather_columns or {})))
     return daily.build_cell_days(incidents, weather, horizon, country, calendar_days, frame.bounds)
 

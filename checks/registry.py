@@ -587,6 +587,31 @@ def topk_drivers(spark, d):
 # --- texts and reshapes ------------------------------------------------------------------
 
 
+IMPORTANCE = "SELECT feature, avg(abs(shap)) AS mean_abs_shap FROM drivers_long GROUP BY feature"
+
+
+@query("shap_summary", f"""
+SELECT feature, {r6('mean_abs_shap', 'mean_abs_shap')}, CAST(row_number() OVER (ORDER BY mean_abs_shap DESC, feature) AS INTEGER) AS rank FROM ({IMPORTANCE})
+""")
+def shap_summary(spark, d):
+    return shapley.shap_summary(views.contributions_long(spark, d))
+
+
+@query("shap_waterfall", f"""
+SELECT grid_id, date, CAST(0.25 AS DOUBLE) AS base_value, feature, {r6('shap', 'shap')}, {r6('2 * shap', 'value')},
+  CAST(row_number() OVER w AS INTEGER) AS step, {r6('0.25 + sum(shap) OVER (w ROWS UNBOUNDED PRECEDING)', 'running')}
+FROM drivers_long WINDOW w AS (PARTITION BY grid_id, date ORDER BY abs(shap) DESC, place)
+""")
+def shap_waterfall(spark, d):
+    return shapley.shap_waterfall(views.contributions_long(spark, d))
+
+
+@query("topk_importance", f"SELECT feature, {r6('mean_abs_shap', 'importance')} FROM ({IMPORTANCE}) ORDER BY mean_abs_shap DESC, feature LIMIT 10")
+def topk_importance(spark, d):
+    means = shapley.shap_summary(views.contributions_long(spark, d))
+    return sampling.topk_importance(means.select("feature", F.col("mean_abs_shap").alias("importance")), 10)
+
+
 @query("driver_label", f"SELECT grid_id, date, top_driver_1, {label_sql('top_driver_1')} AS label FROM drivers")
 def driver_label(spark, d):
     rows = sampling.topk_drivers(views.contributions(spark, d))
@@ -725,17 +750,6 @@ def rf_importance(spark, d):
     return forest.forest_importance(views.fitted(spark, d))
 
 
-@query("topk_importance")
-def topk_importance(spark, d):
-    return sampling.topk_importance(forest.forest_importance(views.fitted(spark, d)))
-
-
-def sampled_contributions(spark, d, n):
-    fitted = views.fitted(spark, d)
-    rows = staged(shapley.shap_sample(forest.forest_scores(train_test(spark, d)[1], fitted), n), "shap-sample")
-    return shapley.contributions_long(shapley.explain_forest(rows, fitted))
-
-
 @query("tree_shap")
 def tree_shap(spark, d):
     fitted = views.fitted(spark, d)
@@ -744,16 +758,6 @@ def tree_shap(spark, d):
     return shapley.explain_forest(chosen, fitted).select("grid_id", "date", "rf_prob", "base_value", *[f"{f}_shap" for f in fixed.MODEL_FEATURES])
 
 
-@query("shap_summary")
-def shap_summary(spark, d):
-    return shapley.shap_summary(sampled_contributions(spark, d, 500))
-
-
-@query("shap_waterfall")
-def shap_waterfall(spark, d):
-    return shapley.shap_waterfall(sampled_contributions(spark, d, 3))
-
-
 @query("explain_predictions")
 def explain_predictions(spark, d):
     out = scoring.explain_predictions(train_test(spark, d)[1], views.fitted(spark, d))

@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellcast import fixed
-from cellcast.operators import aggregates, explain, forest, grid, hotspot, sampling
+from cellcast.operators import aggregates, explain, forest, grid, hotspot, sampling, shapley
 from cellcast.operators.clean import ROW_ID
 from cellcast.plans import scoring, tables
 from cellcast.session import staged
@@ -117,6 +117,12 @@ def contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("grid_id", "date", "rf_prob", *made)
 
 
+def contributions_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The made contributions in long form, with a made base value and feature values of twice the contribution."""
+    rows = contributions(spark, sf_dir).withColumn("base_value", F.lit(0.25))
+    return shapley.contributions_long(rows.withColumns({f: 2 * F.col(f"{f}_shap") for f in fixed.MODEL_FEATURES}))
+
+
 def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Explained rows in two versions; the later version of a (cell, date) must lose."""
     rows = explain.explanation_text(sampling.topk_drivers(contributions(spark, sf_dir)))

@@ -9,8 +9,8 @@ from cellcast.plans import tables
 from checks import compare, registry, views
 
 DATA = "/root/testdata"
-MODEL_ONLY = {"arima_grid_forecast", "arima_predict", "rf_train", "rf_predict", "rf_importance", "topk_importance", "tree_shap",
-              "shap_summary", "shap_waterfall", "explain_predictions", "score_pipeline"}
+MODEL_ONLY = {"arima_grid_forecast", "arima_predict", "rf_train", "rf_predict", "rf_importance", "tree_shap",
+              "explain_predictions", "score_pipeline"}
 
 
 def plan(df):
@@ -38,6 +38,18 @@ def test_counts_per_step(spark, sf, want):
     assert len(model.columns) == 18
 
 
+def test_raw_rows_are_parsed_once(spark):
+    d = f"{DATA}/sf0.001"
+    raw = views.kept(spark, d, "incidents")
+    days = tables.cell_day_table(raw, views.kept(spark, d, "weather"), **views.CITY)
+    located, _ = tables.located_incidents(raw, **views.CITY)
+    files = {f.rsplit("/", 2)[-2] for f in days.inputFiles()}
+    assert not files & {f.rsplit("/", 2)[-2] for f in raw.inputFiles()} and any(f.startswith("valid-incidents") for f in files)
+    want = located.groupBy("grid_id", "date").count()
+    got = days.filter("incident_count > 0").selectExpr("grid_id", "date", "cast(incident_count as bigint)")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_windows_share_one_exchange_by_cell(spark):
     located = views.kept(spark, f"{DATA}/sf0.01", "located")
     text = plan(daily.build_cell_days(located, clean.clean_weather(views.kept(spark, f"{DATA}/sf0.01", "weather"))))
