@@ -4,8 +4,9 @@ A document is its lower-cased words. Each of ``SKETCHES`` random orders picks th
 5-word windows and keeps them in text order; documents that agree in one such pair are candidates. A candidate pair is
 linked if its word alignment needs at most 0.2 edits for each word of the longer document (similarity 0.8 or more).
 
-Exact copies are one node. In a bucket every member meets the bucket's leader only; members unlike it go on in finer
-buckets with leaders of their own. So a round costs one comparison a member, however large a bucket is.
+Exact copies are one node. In a bucket every member meets the bucket's leader. Where a member is unlike it, all members
+of that leader go on to groups by their rarest words, which no alike pair can miss (prefix filter), and there everyone
+meets everyone who is not yet in the same class. So every candidate pair is verified, unlike by its words, or linked by others.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from cellcast.llm.components import components
 WINDOW = 5
 SKETCHES = 16
 SIMILARITY = 0.8
-FURTHER = [1, 5, 11]  # the sketches, counted from a bucket's first, that make it finer
+SLOTS = 1 << 16  # classes of words, of which the frequency is known
 NO_ID = (1 << 63) - 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # Odd multipliers; windows are well mixed before, so that a product is order enough.
@@ -149,8 +150,7 @@ def _within_short(a: np.ndarray, b: np.ndarray, most: int) -> int:
 
 def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     longest = max(len(a), len(b))
-    most = int(round((1 - similarity) * longest, 6))
-    return edits_within(a, b, most) is not None
+    return edits_within(a, b, _most(longest, similarity)) is not None
 
 
 def sketches(docs: DataFrame, count: int = SKETCHES) -> DataFrame:
@@ -201,73 +201,129 @@ def _verified(pairs: DataFrame, sequences: DataFrame, similarity: float) -> Data
                 linked.append(alike(a, b, similarity))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["node", "leader", "linked"])
 
+    return _with_words(pairs, sequences).mapInArrow(run, "node bigint, leader bigint, linked boolean")
+
+
+def _with_words(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     own = sequences.select("node", F.col("words").alias("a"))
     other = sequences.select(F.col("node").alias("leader"), F.col("words").alias("b"))
-    joined = pairs.join(own, "node").join(other, "leader").select("node", "leader", "a", "b")
-    return joined.mapInArrow(run, "node bigint, leader bigint, linked boolean")
+    return pairs.join(own, "node").join(other, "leader").select("node", "leader", "a", "b")
 
 
 def _pairs(met: DataFrame, parts: int) -> DataFrame:
     return met.select("node", "leader").distinct().repartition(parts, "node", "leader")
 
 
+def _most(words: int, similarity: float) -> int:
+    return int(round((1 - similarity) * words, 6))
+
+
+def _frequencies(sequences: DataFrame) -> np.ndarray:
+    """Words of each of ``SLOTS`` classes of word hashes: as many rows come back, whatever the corpus."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, dtype=np.int64)
+        for batch in batches:
+            for words in batch.column(0):
+                total += np.bincount(np.frombuffer(words.as_buffer(), dtype="<u4") % SLOTS, minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
+
+    out = np.zeros(SLOTS, dtype=np.int64)
+    for r in sequences.select("words").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        out[r["slot"]] = r["n"]
+    return out
+
+
+def labelled_words(words: np.ndarray) -> np.ndarray:
+    """Each word with the number of its equals before it, so that a text is a set."""
+    order = np.argsort(words, kind="stable")
+    low, at = words[order], np.arange(len(words))
+    first = np.r_[True, low[1:] != low[:-1]][:len(words)]
+    out = np.empty(len(words), dtype=np.uint64)
+    out[order] = (low.astype(np.uint64) << np.uint64(32)) | (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+    return out
+
+
+def rare_words(words: np.ndarray, leader: np.ndarray, frequencies: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The first words by an order that all members of a leader share: those it lacks first, then by frequency.
+
+    Alike texts have all but ``_most`` of the longer one's words in common, so of each text ``_most + 1`` words are enough
+    for both to have one of them.
+    """
+    own = labelled_words(words)
+    often = frequencies[(own >> np.uint64(32)).astype(np.int64) % SLOTS]
+    return own[np.lexsort((mix(own), often, np.isin(own, labelled_words(leader))))[:_most(len(own), similarity) + 1]]
+
+
+def _rare_groups(pairs: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
+    """``key, node, size`` of each pair's node: a key for its leader and each of the node's rarest words."""
+    frequencies = sequences.sparkSession.sparkContext.broadcast(_frequencies(sequences))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, rare = [], []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                a, b = (np.frombuffer(v.as_buffer(), dtype="<u4") for v in (x, y))
+                sizes.append(len(a))
+                rare.append(rare_words(a, b, frequencies.value, similarity).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(rare, pa.list_(pa.int64()))],
+                names=["node", "leader", "size", "rare"])
+
+    out = _with_words(pairs, sequences).mapInArrow(run, "node bigint, leader bigint, size bigint, rare array<bigint>")
+    return out.select("node", "size", "leader", F.explode("rare").alias("word")).select(
+        F.xxhash64("leader", "word").alias("key"), "node", "size").distinct()
+
+
 def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Verified links ``(node, leader)`` between the distinct texts ``nodes (node, h1, h2, keys)``.
 
-    A round compares each member of a bucket with its leader, so it costs at most one comparison a row. Members unlike
-    their leader go on in finer buckets, which also agree in another sketch; texts that only share a passage part
-    there. What is still together when all sketches agree goes to ``_exhausted``.
+    The classes of the links are those of all alike pairs that share a bucket: a pair is left out only if it is in one
+    class already or its words are too unlike. Each bucket first costs one comparison a member.
     """
     parts = 4 * shuffle_parts(docs.sparkSession)
-    keyed = nodes.select("node", F.posexplode("keys").alias("t", "key")).select("node", "key", F.array("t").alias("path"))
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = staged(keyed.join(shared, "key"), "members")
     own = nodes.join(members.select("node").distinct(), "node")
     sequences = staged(_sequences(docs, own.select("node", "h1", "h2")), "sequences")
-    judged: list[DataFrame] = []
-    ends: list[DataFrame] = []
-    while not members.isEmpty():
-        leaders = members.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1").drop("n")
-        met = members.join(leaders, "key").filter("node <> leader")
-        pairs = _pairs(met, parts)
-        if judged:
-            pairs = pairs.join(_union(judged).select("node", "leader"), ["node", "leader"], "left_anti")
-        judged.append(staged(_verified(pairs, sequences, similarity), "judged"))
-        unlike = met.join(_union(judged).filter("not linked").select("node", "leader"), ["node", "leader"])
-        unlike = unlike.select("node", "key", "path").join(nodes.select("node", "keys"), "node")
-        count = F.size("keys")
-        ends.append(staged(unlike.filter(F.size("path") >= count).select("node", "key"), "ends"))
-        step = F.explode(F.transform(F.array(*map(F.lit, FURTHER)), lambda o: (F.get("path", F.lit(0)) + o) % F.size("keys")))
-        finer = unlike.filter(F.size("path") < count).select("node", "keys", "path", step.alias("t"))
-        finer = finer.filter(~F.array_contains("path", F.col("t"))).select(
-            "node", "keys", F.sort_array(F.array_append("path", F.col("t"))).alias("path"))
-        key = F.xxhash64("path", F.transform("path", lambda i: F.get("keys", i)))
-        members = staged(finer.select("node", key.alias("key"), "path").distinct(), "members")
-    rest = _union(ends).distinct() if ends else members.select("node", "key")
-    links = [d.filter("linked").select("node", "leader") for d in judged]
-    links += _exhausted(rest, sequences, similarity, parts)
-    return _union(links) if links else members.select("node", F.col("node").alias("leader"))
+    leaders = members.groupBy("key").agg(F.min("node").alias("leader"))
+    pairs = _pairs(members.join(leaders, "key").filter("node <> leader"), parts)
+    judged = staged(_verified(pairs, sequences, similarity), "judged")
+    unlike = judged.filter("not linked").select("leader").distinct()
+    going_on = judged.select("node", "leader").join(unlike, "leader").select("node", "leader").repartition(parts, "node", "leader")
+    return _all_met(staged(_rare_groups(going_on, sequences, similarity), "members"), judged, sequences, similarity, parts)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _exhausted(members: DataFrame, sequences: DataFrame, similarity: float, parts: int) -> list[DataFrame]:
-    """Links within buckets that no sketch can split: each round has twice as many leaders, until all have met."""
-    links, turn = [], 0
-    while not members.isEmpty():
-        slot = F.pmod(F.xxhash64("node"), F.lit(1 << turn)).alias("slot")
-        leaders = members.groupBy("key", slot).agg(F.min("node").alias("leader")).select("key", "leader")
-        met = members.join(leaders, "key").filter("node <> leader")
-        judged = staged(_verified(_pairs(met, parts), sequences, similarity), "judged")
-        links.append(judged.filter("linked").select("node", "leader"))
-        outcome = met.join(judged, ["node", "leader"]).groupBy("key", "node").agg(F.max("linked").alias("linked"))
-        led = leaders.select("key", F.col("leader").alias("node"))
-        left = outcome.filter("not linked").join(led, ["key", "node"], "left_anti")
-        members = staged(left.select("node", "key"), "members")
+def _all_met(members: DataFrame, judged: DataFrame, sequences: DataFrame, similarity: float, parts: int) -> DataFrame:
+    """The links of ``judged`` and those within the groups: each round has eight times as many leaders a group.
+
+    A leader meets all of its group that are of another class and of a fitting size. A group ends when it is one class.
+    """
+    every, turn = [judged], 0
+    while True:
+        links = _union(every).filter("linked").select("node", "leader")
+        if members.isEmpty():
+            return links
+        classes = components(links, "node", "leader")
+        named = members.join(classes, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("class"))
+        several = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
+        members = staged(named.join(several, "key"), "members")
+        slot = F.pmod(F.xxhash64("node"), F.lit(1 << min(3 * turn, 60))).alias("slot")
+        led = staged(members.groupBy("key", slot).agg(F.min(F.struct("node", "size", "class")).alias("led")).select("key", "led"), "leaders")
+        longer = F.greatest("size", "led.size")
+        fits = F.abs(F.col("size") - F.col("led.size")) <= F.round((1 - similarity) * longer, 6)
+        met = members.join(led, "key").filter((F.col("class") != F.col("led.class")) & fits)
+        met = met.select(F.greatest("node", "led.node").alias("node"), F.least("node", "led.node").alias("leader"))
+        pairs = _pairs(met, parts).join(_union(every).select("node", "leader"), ["node", "leader"], "left_anti")
+        every.append(staged(_verified(pairs, sequences, similarity), "judged"))
+        done = led.select("key", F.col("led.node").alias("node"))
+        members = staged(members.join(done, ["key", "node"], "left_anti").select("key", "node", "size"), "members")
         turn += 1
-    return links
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

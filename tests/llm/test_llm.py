@@ -208,6 +208,38 @@ def test_unlike_members_of_a_bucket_meet_all_others(spark):
     assert all(a % 10 == b % 10 for a, b in got)
 
 
+def test_every_alike_pair_of_a_bucket_is_found(spark):
+    rng = random.Random(4)
+    base = [prose(rng, 80) for _ in range(7)]
+    chain = prose(rng, 100).split()
+    near = chain[:10] + ["x"] * 15 + chain[25:]
+    far = near[:60] + ["y"] * 15 + near[75:]
+    rows = list(enumerate(base)) + [(10 + i, t + " more") for i, t in enumerate(base)]
+    docs = spark.createDataFrame(rows + [(i, " ".join(w)) for i, w in zip((20, 21, 22), (chain, near, far))], "doc_id bigint, text string")
+    for keys in (range(16), range(1)):  # all sketches agree: no finer bucket can part them
+        same = F.array(*map(F.lit, keys)).cast("array<bigint>").alias("keys")
+        nodes = order_minhash.sketches(docs).select(F.col("doc").alias("node"), "h1", "h2", same)
+        got = components.components(order_minhash.near_links(docs, nodes), "node", "leader").collect()
+        want = {(i + d, i) for i in range(7) for d in (0, 10)} | {(i, 20) for i in (20, 21, 22)}
+        assert {(r.node, r.component) for r in got} == want
+    # The chain alone: its end is unlike the leader, and alike to one that the leader is linked to.
+    some = nodes.filter("node >= 20")
+    got = components.components(order_minhash.near_links(docs, some), "node", "leader").collect()
+    assert {(r.node, r.component) for r in got} == {(i, 20) for i in (20, 21, 22)}
+
+
+def test_rare_words_meet(spark):
+    rng = random.Random(6)
+    often = np.array([rng.randint(0, 9) for _ in range(order_minhash.SLOTS)])
+    for _ in range(500):
+        a = [rng.randint(0, 60) for _ in range(rng.randint(1, 60))]
+        b = [w if rng.random() > 0.1 else rng.randint(0, 60) for w in a]
+        a, b = np.array(a, "u4"), np.array(b[rng.randint(0, 3):] or a, "u4")
+        lead = np.array([rng.randint(0, 60) for _ in range(30)], "u4")
+        if order_minhash.alike(a, b):
+            assert set(order_minhash.rare_words(a, lead, often).tolist()) & set(order_minhash.rare_words(b, lead, often).tolist())
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
