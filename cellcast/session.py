@@ -56,4 +56,18 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``staged`` that nothing reads any more: what was made from them must be staged itself.
+
+    Frames that are not from ``staged`` are left alone.
+    """
+    for df in tables:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
