@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellcast.llm import quotient
-from cellcast.llm.common import shuffle_parts, staged
+from cellcast.llm.common import discard, shuffle_parts, staged, word_hashes
 
 LONGEST = 5
 LEAST = 100
@@ -30,6 +31,7 @@ TOP = 2000
 SHARE = 100  # percent of a phrase's occurrences in one longer phrase at which it goes
 BLOCK = 1 << 20  # words
 ENTRIES = 1 << 20  # of a range
+WORDS = 1 << 18  # likewise, of words themselves
 NO_LANG = "und"
 _BREAK = b"\n"
 # Lower case, piece ends as line ends, tabs as spaces.
@@ -41,10 +43,19 @@ def _split(text: str) -> Iterator[bytes]:
     return filter(None, (text.encode().translate(_PLAIN) + _BREAK).replace(_BREAK, b" \n ").split(b" "))
 
 
+def _joined(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(_BREAK.join(words))
+
+
+def _apart(blob: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(blob).split(_BREAK)
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
-    """``block, lang, tokens, words, counts, places``: up to about ``BLOCK`` words of one language.
+    """``block, lang, tokens, distinct, words, counts, places``: up to about ``BLOCK`` words of one language.
 
-    ``places`` holds the words in the order of the text, as positions in ``words`` plus 1; 0 ends a piece.
+    ``words`` are the block's distinct ones, the commonest first; ``places`` holds the words in the order of the text, as
+    positions in ``words`` plus 1; 0 ends a piece.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, made = TaskContext.get().partitionId() << 32, 0
@@ -56,12 +67,15 @@ def _blocks(docs: DataFrame) -> DataFrame:
             known, places = open_.pop(lang)
             at = np.concatenate(places)
             counts = np.bincount(at, minlength=len(known))[1:]
-            words = pa.array(list(known)[1:], pa.binary()).cast(pa.string())
-            ends = pa.array([0, len(words)], pa.int32())
+            order = np.argsort(-counts, kind="stable")
+            rank = np.zeros(len(known), dtype=np.int64)
+            rank[order + 1] = np.arange(1, len(known))
+            words = list(known)[1:]
             return pa.RecordBatch.from_arrays([
-                pa.array([first + made]), pa.array([lang]), pa.array([int(counts.sum())]), pa.ListArray.from_arrays(ends, words),
-                pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), pa.array([quotient.pack(at)], pa.binary())],
-                names=["block", "lang", "tokens", "words", "counts", "places"])
+                pa.array([first + made]), pa.array([lang]), pa.array([int(counts.sum())]), pa.array([len(words)], pa.int64()),
+                pa.array([_joined([words[i] for i in order.tolist()])], pa.binary()), pa.array([quotient.pack(counts[order])], pa.binary()),
+                pa.array([quotient.pack(rank[at])], pa.binary())],
+                names=["block", "lang", "tokens", "distinct", "words", "counts", "places"])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -83,17 +97,52 @@ def _blocks(docs: DataFrame) -> DataFrame:
             yield closed(lang)
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)), F.coalesce(F.col("text"), F.lit("")))
-    return rows.mapInArrow(run, "block bigint, lang string, tokens bigint, words array<string>, counts array<bigint>, places binary")
+    return rows.mapInArrow(run, "block bigint, lang string, tokens bigint, distinct bigint, words binary, counts binary, places binary")
 
 
-def _numbered(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``df`` with ``id``: whole numbers from 0, with few gaps. Ranges of bounded size are numbered side by side."""
-    parts = max(1, -(-df.count() // ENTRIES))
-    own = Window.partitionBy("_part").orderBy(*keys)
-    out = df.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(parts))).withColumn("_at", F.row_number().over(own) - 1)
-    out = staged(out, "numbered")
-    stride = (out.agg(F.max("_at")).first()[0] or 0) + 1
-    return out.withColumn("id", (F.col("_part") * stride + F.col("_at")).cast("bigint")).drop("_part", "_at")
+def _word_runs(blocks: DataFrame, shard: int) -> DataFrame:
+    """``shard, block, lang, words, counts, at`` of every block: its words by hash, and where they are in the block's list."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, lang, words, counts in zip(*(batch.column(i) for i in range(4))):
+                words, counts = _apart(words.as_py()), quotient.unpack(counts.as_py())
+                of = (word_hashes(words) >> np.uint64(64 - shard)).astype(np.int64) if shard else np.zeros(len(words), dtype=np.int64)
+                order = np.argsort(of, kind="stable")
+                for part, at in zip(np.unique(of).tolist(), np.split(order, np.flatnonzero(np.diff(of[order])) + 1)):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([part], pa.int64()), pa.array([block.as_py()]), pa.array([lang.as_py()]),
+                        pa.array([_joined([words[i] for i in at.tolist()])], pa.binary()), pa.array([quotient.pack(counts[at])], pa.binary()),
+                        pa.array([quotient.pack(at)], pa.binary())], names=["shard", "block", "lang", "words", "counts", "at"])
+
+    return blocks.select("block", "lang", "words", "counts").mapInArrow(
+        run, "shard bigint, block bigint, lang string, words binary, counts binary, at binary")
+
+
+def _counted_words(runs: DataFrame, least: int) -> DataFrame:
+    """Each range merged: a row with its frequent words, the commonest first, and a reply to each block, 0 where rare."""
+    def run(table: pa.Table) -> pa.Table:
+        rows = list(zip(table.column("lang").to_pylist(), (_apart(x.as_py()) for x in table.column("words"))))
+        total: dict[str, dict[bytes, int]] = defaultdict(dict)
+        for (lang, words), counts in zip(rows, table.column("counts")):
+            own = total[lang]
+            for word, n in zip(words, quotient.unpack(counts.as_py()).tolist()):
+                own[word] = own.get(word, 0) + n
+        often = sorted((-n, lang, word) for lang, own in total.items() for word, n in own.items() if n >= least)
+        place: dict[str, dict[bytes, int]] = defaultdict(dict)
+        for i, (_, lang, word) in enumerate(often, start=1):
+            place[lang][word] = i
+        replies = [quotient.pack(np.fromiter((place[lang].get(w, 0) for w in words), dtype=np.int64, count=len(words))) for lang, words in rows]
+        none = [None] * len(rows)
+        return pa.table({
+            "shard": pa.array([table.column("shard")[0].as_py()] * (len(rows) + 1), pa.int64()),
+            "block": pa.array([None, *table.column("block").to_pylist()], pa.int64()), "reply": pa.array([None, *replies], pa.binary()),
+            "at": pa.array([None, *table.column("at").to_pylist()], pa.binary()),
+            "lang": pa.array([[lang for _, lang, _ in often], *none], pa.list_(pa.string())),
+            "word": pa.array([[word.decode() for *_, word in often], *none], pa.list_(pa.string())),
+            "n": pa.array([[-n for n, *_ in often], *none], pa.list_(pa.int64()))})
+
+    return runs.groupBy("shard").applyInArrow(
+        run, "shard bigint, block bigint, reply binary, at binary, lang array<string>, word array<string>, n array<bigint>")
 
 
 def _state(block: int, words: np.ndarray, grams: np.ndarray, k: int) -> pa.RecordBatch | None:
@@ -109,30 +158,37 @@ def _state(block: int, words: np.ndarray, grams: np.ndarray, k: int) -> pa.Recor
     need = np.cumsum(need)[:-1] > 0
     keep = need | np.r_[False, need[:-1]]  # one break behind each run
     words, grams = np.where(need, words, -1)[keep], np.where(need, grams, -1)[keep]
+    grams = None if k == 1 else quotient.pack(grams + 1)  # else they are the words
     return pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([todo]), pa.array([quotient.pack(words + 1)], pa.binary()), pa.array([quotient.pack(grams + 1)], pa.binary())],
+        [pa.array([block]), pa.array([todo]), pa.array([quotient.pack(words + 1)], pa.binary()), pa.array([grams], pa.binary())],
         names=["block", "todo", "words", "grams"])
 
 
+def _read(words: pa.Scalar, grams: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    words = quotient.unpack(words.as_py()) - 1
+    return words, quotient.unpack(grams.as_py()) - 1 if grams.is_valid else words
+
+
 _STATE = "block bigint, todo bigint, words binary, grams binary"
 
 
-def _with_ids(blocks: DataFrame, frequent: DataFrame) -> DataFrame:
+def _with_ids(blocks: DataFrame, replies: DataFrame, ranges: int) -> DataFrame:
     """The blocks as word ids: what is rare is a break."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, places, at, ids in zip(*(batch.column(i) for i in range(4))):
-                places, at = quotient.unpack(places.as_py()), at.values.to_numpy()
-                known = np.full(max(int(places.max(initial=0)), int(at.max(initial=0)) + 1) + 1, -1, dtype=np.int64)
-                known[at + 1] = ids.values.to_numpy()
+            for block, places, shards, own, at in zip(*(batch.column(i) for i in range(5))):
+                places = quotient.unpack(places.as_py())
+                known = np.full(int(places.max(initial=0)) + 1, -1, dtype=np.int64)
+                for part, reply, where in zip(shards.as_py(), own.as_py(), at.as_py()):
+                    reply = quotient.unpack(reply)
+                    known[quotient.unpack(where) + 1] = np.where(reply > 0, (reply - 1) * ranges + part, -1)
                 words = np.r_[known[places], -1]
                 if (out := _state(block.as_py(), words, words, 1)) is not None:
                     yield out
 
-    own = blocks.select("block", "lang", F.posexplode("words").alias("at", "word")).join(frequent, ["lang", "word"])
-    own = own.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("own"))
+    own = replies.groupBy("block").agg(F.collect_list(F.struct("shard", "reply", "at")).alias("own"))
     both = blocks.select("block", "places").join(own, "block").select(
-        "block", "places", F.col("own.at").cast("array<bigint>").alias("at"), F.col("own.id").alias("id"))
+        "block", "places", F.col("own.shard").alias("shards"), F.col("own.reply").alias("own"), F.col("own.at").alias("at"))
     return both.mapInArrow(run, _STATE)
 
 
@@ -148,7 +204,7 @@ def _filters(state: DataFrame, k: int, word_bits: int, bits: int, shard: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, words, grams in zip(*(batch.column(i) for i in range(3))):
-                words, grams = (quotient.unpack(x.as_py()) - 1 for x in (words, grams))
+                words, grams = _read(words, grams)
                 keys, counts = quotient.counted(_keys(words, grams, k, word_bits, bits)[1])
                 for part, where in quotient.parts(keys, bits, shard):
                     own = quotient.within(keys[where], bits, shard)
@@ -191,7 +247,7 @@ def _longer(state: DataFrame, replies: DataFrame, k: int, word_bits: int, bits:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, words, grams, shards, own in zip(*(batch.column(i) for i in range(5))):
-                words, grams = (quotient.unpack(x.as_py()) - 1 for x in (words, grams))
+                words, grams = _read(words, grams)
                 at, keys = _keys(words, grams, k, word_bits, bits)
                 _, back = np.unique(keys, return_inverse=True)
                 got = sorted(zip(shards.as_py(), own.as_py()))
@@ -226,13 +282,16 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> list
     """
     blocks = staged(_blocks(docs), "blocks")
     totals = blocks.groupBy("lang").agg(F.sum("tokens").alias("total"))
-    counts = blocks.select("lang", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("n"))))
-    counts = counts.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    frequent = _numbered(staged(counts, "words"), ["lang", "word"])
+    shard = quotient.shard_bits(blocks.agg(F.sum("distinct")).first()[0] or 0, WORDS)
+    merged = staged(_counted_words(_word_runs(blocks.filter("distinct > 0"), shard), least), "words")
+    # The commonest words have the smallest ids.
+    frequent = merged.filter("block IS NULL").select("shard", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "own"))
+    frequent = frequent.select((F.col("at") * (1 << shard) + F.col("shard")).alias("id"), "own.lang", "own.word", "own.n")
     own = F.array("n")
     levels = [staged(frequent.join(totals, "lang").select(
         "id", "lang", "total", F.array("id").alias("words"), F.col("word").alias("phrase"), own.alias("starts"), own.alias("ends")), "phrases")]
-    state = staged(_with_ids(blocks, frequent.select("lang", "word", "id")), "state")
+    state = staged(_with_ids(blocks, merged.filter("block IS NOT NULL"), 1 << shard), "state")
+    discard(blocks, merged)
     word_bits = gram_bits = int(levels[0].agg(F.max("id")).first()[0] or 0).bit_length()
     for k in range(2, longest + 1):
         bits = max(1, gram_bits + word_bits)
@@ -246,8 +305,12 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> list
         levels.append(staged(_named(grams, levels[-1], levels[0], k), "phrases"))
         if k < longest:
             replies = merged.filter("block IS NOT NULL").select("shard", "block", "reply")
-            state = staged(_longer(state, replies, k, word_bits, bits, stride), "state")
+            longer = staged(_longer(state, replies, k, word_bits, bits, stride), "state")
+            discard(state)
+            state = longer
             gram_bits = ((1 << shard) * stride).bit_length()
+        discard(merged)
+    discard(state)
     return levels
 
 
