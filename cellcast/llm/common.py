@@ -6,9 +6,9 @@ import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cellcast.session import shared_dir, staged
+from cellcast.session import discard, shared_dir, staged
 
-__all__ = ["shared_dir", "staged", "table", "texts", "shuffle_parts", "unused", "word_hashes", "mix"]
+__all__ = ["discard", "shared_dir", "staged", "table", "texts", "shuffle_parts", "unused", "word_hashes", "mix"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Counting quotient filters that lose nothing, and packed integer columns.
 
 A key of ``bits`` bits is permuted by an invertible mixer. Its upper bits are the quotient, kept as a bitmap of occupied
-quotients and of run ends; the lower bits are the remainder, kept in full. So a filter gives back its keys and their
+quotients and of run ends; the lower bits are the remainder, kept in full. Counts above 1 have a bit and a byte, large ones eight more. So a filter gives back its keys and their
 counts exactly, in the order of the permuted key, and filters of equal ranges merge like sorted runs.
 """
 
@@ -56,10 +56,11 @@ def encode(keys: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
     occupied[quotients.astype(np.int64)] = True
     ends = np.r_[quotients[1:] != quotients[:-1], True][:n]
     remainders = np.ascontiguousarray(keys, dtype="<u8").view(np.uint8).reshape(n, 8)[:, :width]
+    several = counts > 1
     large = counts[counts >= 255].astype("<i8")
     return b"".join([
         _HEAD.pack(n, bits, width), np.packbits(occupied).tobytes(), np.packbits(ends).tobytes(), remainders.tobytes(),
-        np.minimum(counts, 255).astype(np.uint8).tobytes(), large.tobytes()])
+        np.packbits(several).tobytes(), np.minimum(counts[several], 255).astype(np.uint8).tobytes(), large.tobytes()])
 
 
 def decode(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -80,8 +81,11 @@ def decode(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     keys = keys.reshape(-1).view("<u8").astype(np.uint64)
     if n and width < 8:
         keys |= slots[np.cumsum(ends, dtype=np.int64) - ends] << np.uint64(8 * width)
-    counts = take(n).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(blob, dtype="<i8", offset=at)
+    several = np.flatnonzero(np.unpackbits(take(-(-n // 8)), count=n))
+    more = take(len(several)).astype(np.int64)
+    more[more == 255] = np.frombuffer(blob, dtype="<i8", offset=at)
+    counts = np.ones(n, dtype=np.int64)
+    counts[several] = more
     return keys, counts
 
 

@@ -77,7 +77,7 @@ def phrase_rows():
 def test_collocations(spark, share, monkeypatch):
     rows = phrase_rows()
     monkeypatch.setattr(collocations, "ENTRIES", 16)  # many ranges
-    monkeypatch.setattr(collocations, "BLOCK", 500)
+    monkeypatch.setattr(collocations, "WORDS", 3)
     got = collocations.collocations(spark.createDataFrame(rows, PHRASES).repartition(3), least=6, top=40, share=share).collect()
     want = brute_collocations([r[:2] for r in rows], 6, 40, share)
     assert ordered(got) == want and len(want) > 60
@@ -206,14 +206,13 @@ def test_repeated_passages_of_little(spark):
         assert sorted((r[0], r[2], bytes(r[4])) for r in got) == [(i, 0, (t or "").encode()) for i, t in rows]
 
 
-def test_suffixes_split_at_key_borders():
+def test_contexts_of_one_key_are_compared_string_by_string():
     rng = random.Random(1)
-    pieces = [bytes(rng.choices(b"ab", k=rng.randint(50, 70))) + b"c" * 50 for _ in range(40)]
-    keys = np.sort(np.array([rng.randrange(12) for _ in pieces], dtype=np.uint64))
+    pieces = [bytes(rng.choices(b"ab", k=rng.randint(50, 70))) + b"c" * rng.randint(40, 90) for _ in range(40)]
+    pieces += [p[:rng.randint(50, len(p))] for p in pieces[:20]] + [b"%02d" % i * 40 for i in range(5)]
+    keys = np.array([0] * 60 + [1, 2, 3, 4, 5], dtype=np.uint64)
     docs = np.array([rng.randrange(-9, 99) for _ in pieces])
-    want = [[min(int(docs[j]) for j, q in enumerate(pieces) if keys[j] == keys[i] and p[s:s + 50] in q) for s in range(len(p) - 49)]
-            for i, p in enumerate(pieces)]
+    want = [[min(int(docs[j]) for j, q in enumerate(pieces) if p[s:s + 50] in q) for s in range(len(p) - 49)] for p in pieces]
     for limit in (1, 1000, 1 << 20):
         got = repeated_passages.least_documents(keys, pieces, docs, limit)
-        assert all(set(g.tolist()) <= set(docs.tolist()) and all(a <= b for a, b in zip(g.tolist(), w)) for g, w in zip(got, want))
-        assert limit > 1 or [g.tolist() for g in got] == want
+        assert [g.tolist() for g in got] == want
