@@ -73,7 +73,18 @@ DATE_FORMATS = [
     "yyyy/MM/dd[ HH:mm:ss]",
     "M/d/yyyy[ H:mm[:ss]]",
     "yyyyMMdd",
+    "M/d/yyyy h:mm[:ss] a",
+    "d MMM yyyy[ H:mm[:ss]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
+    "MMM d, yyyy[ H:mm[:ss]]",
+    "d MMMM yyyy[ H:mm[:ss]]",
+    "MMMM d, yyyy[ H:mm[:ss]]",
 ]
+# Digits of a number of seconds since 1970, and of the finer units' numbers, from 1973 on.
+EPOCH_DIGITS = {1: (9, 10), 1_000: (12, 13), 1_000_000: (15, 16), 1_000_000_000: (18, 19)}
+
+# --- Fixed values: why a raw incident is left out, in the order of the checks ------------
+REJECT_REASONS = ["other place", "no date", "no coordinates", "coordinates out of range", "not a fire"]
 
 # --- Fixed values: features, horizons and model settings ---------------------------------
 LAGS = [1, 3, 7]

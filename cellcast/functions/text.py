@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, DoubleType, FloatType, StringType, TimestampNTZType, TimestampType
 
 from cellcast import fixed
 
 
 BLANKS = " \t\n\x0b\x0c\r"
+OFFSET = r"(\d:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*(?:Z|UTC|GMT|[+-]\d{2}(?::?\d{2})?)$"
 
 
 def plain_name(name: str) -> str:
@@ -43,11 +44,23 @@ def to_number(column: Column, kind: DataType = StringType()) -> Column:
 
 
 def to_day(column: Column, kind: DataType = StringType(), formats: list[str] | None = None) -> Column:
-    """Date of a text, timestamp or date column; unreadable values become null."""
+    """Date of a text, number, timestamp or date column; unreadable values become null.
+
+    A time with an offset belongs to the day on its own clock. A whole number of seconds, milliseconds,
+    microseconds or nanoseconds since 1970 (told apart by its digits) belongs to its UTC day; eight digits are a
+    calendar day. Numbers are read like their text.
+    """
     if isinstance(kind, DateType):
         return column
     if isinstance(kind, (TimestampType, TimestampNTZType)):
         return column.cast("date")
+    if isinstance(kind, (DoubleType, FloatType)):
+        column = column.try_cast("decimal(20,0)")
     text = F.trim(column.cast("string"), F.lit(BLANKS))
-    tried = [F.try_to_timestamp(text, F.lit(f)) for f in formats or fixed.DATE_FORMATS]
-    return F.coalesce(*tried).cast("date")
+    wall = F.regexp_replace(text, OFFSET, "$1")
+    tried = [F.try_to_timestamp(wall, F.lit(f)).cast("date") for f in formats or fixed.DATE_FORMATS]
+    number = text.try_cast("bigint")
+    days = {unit: F.date_add(F.lit("1970-01-01").cast("date"), F.call_function("div", number, F.lit(86_400 * unit)).cast("int"))
+            for unit in fixed.EPOCH_DIGITS}
+    epoch = F.coalesce(*[F.when(text.rlike(rf"^\d{{{low},{high}}}$"), days[unit]) for unit, (low, high) in fixed.EPOCH_DIGITS.items()])
+    return F.coalesce(epoch, *tried)

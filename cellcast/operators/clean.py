@@ -58,16 +58,22 @@ def standardize_weather(df: DataFrame, **override: str | None) -> DataFrame:
     return df.select(*[F.col(c).alias(role) for role, c in weather_roles(df.columns, **override).items()])
 
 
-def filter_field_values(df: DataFrame, fields: list[str], values: list[str]) -> DataFrame:
-    """Rows whose every field equals its value, ignoring case and outer white space."""
+def has_field_values(df: DataFrame, fields: list[str], values: list[str]) -> Column:
+    """Whether every field equals its value, ignoring case and outer white space."""
     if len(fields) != len(values):
         raise ValueError("give one value per filter field")
     unknown = [f for f in fields if f not in df.columns]
     if unknown:
         raise ValueError(f"unknown filter field {unknown[0]}")
+    same = F.lit(True)
     for field, value in zip(fields, values):
-        df = df.filter(F.lower(F.trim(F.col(field).cast("string"), F.lit(BLANKS))) == str(value).strip().lower())
-    return df
+        same &= F.lower(F.trim(F.col(field).cast("string"), F.lit(BLANKS))) == str(value).strip().lower()
+    return same
+
+
+def filter_field_values(df: DataFrame, fields: list[str], values: list[str]) -> DataFrame:
+    """Rows whose every field equals its value, ignoring case and outer white space."""
+    return df.filter(has_field_values(df, fields, values))
 
 
 def coerce_coordinates(df: DataFrame, lat: str | None, lon: str | None) -> DataFrame:
@@ -93,6 +99,16 @@ def filter_valid_coords(df: DataFrame) -> DataFrame:
     )
 
 
+def reject_reason(chosen: Column, kind: Column | None) -> Column:
+    """The first check a row fails, null if it passes all: the filters of ``valid_incidents`` as one column."""
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    near = (F.abs("latitude") <= 90) & (F.abs("longitude") <= 180)
+    fire = F.lit(True) if kind is None else is_fire(kind)
+    failed = [~F.coalesce(chosen, F.lit(False)), F.col("date").isNull(), ~placed, ~near, ~fire]
+    tests = list(zip(failed, fixed.REJECT_REASONS))
+    return F.coalesce(*[F.when(test, F.lit(reason)) for test, reason in tests])
+
+
 def is_fire(kind: Column) -> Column:
     """The word itself, or a first run of three digits within the fire codes."""
     text = kind.cast("string")
@@ -114,15 +130,13 @@ def identity_columns(columns: list[str]) -> list[str]:
 def dedupe_incidents(df: DataFrame, order: str = ROW_ID) -> DataFrame:
     """One row per incident identity: the one that came first.
 
-    An aggregation, not a ranking window: copies are folded before the shuffle, so a report repeated
-    a billion times costs one row per map task instead of one giant sort group. Columns that nobody
-    reads later are pruned from it.
+    Two phases. The least row id of each identity is a hash aggregate: copies are folded before the
+    shuffle, so a report repeated a billion times costs one row per map task, and no other column
+    moves. Then the rows with these ids are picked by a semi-join on the id, which is unique and so has
+    no hot key. ``order`` must be unique; a table without identity columns is one identity.
     """
-    keys = identity_columns(df.columns)
-    rest = [c for c in df.columns if c not in keys and c != order]
-    first = [F.min_by(c, order).alias(c) for c in rest]
-    out = df.groupBy(*keys).agg(F.min(order).alias(order), *first)
-    return out.select(*df.columns)
+    first = df.groupBy(*identity_columns(df.columns)).agg(F.min(order).alias("_first"))
+    return df.join(first.select("_first"), F.col(order) == F.col("_first"), "left_semi")
 
 
 def clean_weather(df: DataFrame) -> DataFrame:
@@ -159,6 +173,34 @@ def valid_incidents(
     return filter_fire_types(filter_valid_coords(out), roles["type"])
 
 
+def judged_incidents(
+    df: DataFrame,
+    fields: list[str] | None = None,
+    values: list[str] | None = None,
+    formats: list[str] | None = None,
+    **override: str | None,
+) -> DataFrame:
+    """All raw rows, typed, with ``reject_reason``: null for those that ``valid_incidents`` returns, else why not.
+
+    The channel for what cleaning leaves out. It costs one pass and no shuffle: store it, or filter it.
+    """
+    roles = incident_roles(df.columns, **override)
+    if not roles["date"]:
+        raise ValueError("no incident date column found; name it")
+    chosen = has_field_values(df, fields or [], values or [])
+    out = coerce_event_date(coerce_coordinates(df, roles["lat"], roles["lon"]), roles["date"], formats)
+    return out.withColumn("reject_reason", reject_reason(chosen, F.col(roles["type"]) if roles["type"] else None))
+
+
+def reject_counts(df: DataFrame, **options) -> DataFrame:
+    """``reason, n``: every reason and ``kept``, also those without rows; the counts add up to the rows of ``df``."""
+    judged = judged_incidents(df, **options)
+    cases = {reason: F.col("reject_reason") == reason for reason in fixed.REJECT_REASONS} | {"kept": F.col("reject_reason").isNull()}
+    counts = judged.agg(*[F.count_if(test).alias(reason) for reason, test in cases.items()])
+    named = F.array(*[F.struct(F.lit(reason).alias("reason"), F.col(reason).alias("n")) for reason in cases])
+    return counts.select(F.inline(named))
+
+
 def clean_incidents(df: DataFrame, **options) -> DataFrame:
     """Raw incidents -> clean ones. Adds a row id where the caller has not set one."""
     if ROW_ID not in df.columns:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cellcast.functions import geo
 
+BLOCK = 32  # cells a side of what one row unfolds to
+
 
 def scalar(df: DataFrame) -> Column:
     """A one-row frame as one struct-valued scalar subquery."""
@@ -77,14 +79,21 @@ def assign_grid_cell(points: DataFrame, size: float = 1000.0, extent: Column | N
 def generate_grid(extent: DataFrame, size: float = 1000.0) -> DataFrame:
     """Every cell of the extent with its square, empty ones too.
 
-    The extent is one row; its grid rows are spread over the cluster before each unfolds its columns.
+    The extent is one row. It is cut into square blocks of ``BLOCK`` cells a side, which are spread over the cluster
+    before each unfolds, so that a grid of one row or one column is as parallel as a square one.
     """
-    spark = extent.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = extent.select("*", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)).alias("cell_row"))
-    cells = rows.repartition(parts, "cell_row").select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("n_cols") - 1)).alias("cell_col")
-    )
+
+    def blocks(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / BLOCK).cast("int")))
+
+    def inside(block: str, n: str) -> Column:
+        first = F.col(block) * BLOCK
+        return F.explode(F.sequence(first, F.least(first + (BLOCK - 1), F.col(n) - 1)))
+
+    parts = int(extent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    squares = extent.select("*", blocks("n_rows").alias("block_row")).select("*", blocks("n_cols").alias("block_col"))
+    cells = squares.repartition(parts, "block_row", "block_col").select("*", inside("block_row", "n_rows").alias("cell_row"))
+    cells = cells.select("*", inside("block_col", "n_cols").alias("cell_col"))
     x0, y0 = F.col("minx") + F.col("cell_col") * size, F.col("miny") + F.col("cell_row") * size
     return cells.select(
         cell_id(F.col("cell_row"), F.col("cell_col")).alias("grid_id"), "cell_row", "cell_col",

@@ -40,7 +40,8 @@ def score_pipeline(model: DataFrame, centroids: DataFrame, fraction: float = fix
     scored = score_hotspot(train, test, centroids)
     scored = arima.train_and_predict(train, scored, **(arima_settings or {}))
     # Evaluation folds the scored rows several ways; they are written once, as the result table is anyway.
-    scored = staged(forest.forest_predict(scored, fitted), "scored-test")
+    # By date, since the views ask for one day.
+    scored = staged(forest.forest_predict(scored, fitted), "scored-test", ["date"])
     return Scored(scored, evaluate.evaluate_models(scored), fitted)
 
 

@@ -48,15 +48,17 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     """Write ``df`` to a new table in the shared folder and read it back.
 
     This cuts the lineage the durable way: later jobs read parquet with column pruning, and a lost
-    executor costs a re-read instead of a recomputation of everything before.
+    executor costs a re-read instead of a recomputation of everything before. With ``partition_by`` (columns
+    of few values, such as dates) later filters on these columns read only their folders.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if partition_by:  # rows are gathered by these columns first, else every task would write a file to each folder
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out = out.select(*df.columns) if partition_by else out
     out._staged_at = path
     return out
 

@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from cellcast import fixed
+from cellcast.session import staged
 
 GEOMETRY = "struct<type:string,coordinates:array<double>>"
 
 
-def read_table(spark: SparkSession, path: str, multi_line: bool = True, **geojson_options) -> DataFrame:
+ODD_RANGES = 100_000  # up to so many (file, offset) pairs, some 20 MB, are broadcast
+
+
+def read_table(spark: SparkSession, path: str, multi_line: bool | None = None, **geojson_options) -> DataFrame:
     """Reader by suffix. CSV values stay text until they are coerced, so no inference pass is spent.
 
-    A quoted CSV value may hold line breaks; such a file is read by one task. Files known to have none
-    (``multi_line=False``) are split.
+    A quoted CSV value may hold line breaks, and the file is split all the same, see ``read_csv``. ``multi_line=False`` saves the
+    scan for quotes where no value has a break; ``multi_line=True`` gives each file to one task.
     """
     suffix = PurePosixPath(path).suffix.lower()
     if suffix in (".csv", ".txt"):
-        return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+        return read_csv(spark, path) if multi_line is None else _csv(spark, path, multi_line)
     if suffix == ".parquet":
         return spark.read.parquet(path)
     if suffix in (".geojson", ".json", ".geojsonl"):
@@ -28,6 +34,89 @@ def read_table(spark: SparkSession, path: str, multi_line: bool = True, **geojso
     raise ValueError(f"unsupported file type {suffix!r}")
 
 
+def _csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """CSV with a header, split into byte ranges although quoted values may hold line breaks. All columns are text.
+
+    A line break ends a record if the quotes before it are even in number. So each range's quotes are counted (one row a range),
+    running sums tell which ranges begin within a value, and each range joins its own lines into records. What begins
+    in one range and ends in a later one is put together from its pieces, at most two a range. Files in which no line has an
+    odd number of quotes are left to Spark's own reader. Quotes must be paired: where a file has an odd number
+    (a bare inch sign, say) no running sum can be trusted, and each file is read by one task.
+    """
+    # Only \n ends a line here: whatever else is between stands in the line as it is.
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.col("value").alias("line"))
+    marks = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    ranges = staged(lines.groupBy("file", "start").agg(F.sum(marks).alias("marks"), F.count_if(marks % 2 == 1).alias("odd")), "csv-ranges")
+    if ranges.filter("odd > 0").isEmpty():
+        return _csv(spark, path, False)
+    if not ranges.groupBy("file").agg(F.sum("marks").alias("marks")).filter("marks % 2 = 1").isEmpty():
+        return _csv(spark, path, True)
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranges.withColumn("before", F.sum("marks").over(earlier)).filter("before % 2 = 1")
+    inside = staged(inside.select("file", "start", F.lit(True).alias("inside")), "csv-ranges")
+    if inside.count() <= ODD_RANGES:
+        told = lines.join(F.broadcast(inside), ["file", "start"], "left")
+    else:
+        told = lines.withColumn("_at", F.monotonically_increasing_id()).join(inside, ["file", "start"], "left")
+        told = told.repartition("file", "start").sortWithinPartitions("file", "start", "_at")
+    pieces = told.select("file", "start", F.coalesce("inside", F.lit(False)), "line").mapInArrow(
+        _records, "file string, start bigint, part int, text string")
+    cut = pieces.filter(F.col("part") != WHOLE)
+    begun = F.sum((F.col("part") == BEGINNING).cast("int")).over(Window.partitionBy("file").orderBy("start", "part"))
+    cut = cut.withColumn("record", begun).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "part", "text"))).alias("pieces"))
+    records = pieces.filter(F.col("part") == WHOLE).select("text").unionByName(cut.select(F.array_join("pieces.text", "\n").alias("text")))
+    names = ", ".join("`{}` string".format(n.replace("`", "``")) for n in _csv(spark, path, True).columns)
+    parsed = F.from_csv("text", names, {"escape": '"'})
+    return records.filter(F.trim("text") != "").select(parsed.alias("r")).select("r.*")
+
+
+# Pieces of records in a range: the end of an earlier one's, a whole one, a beginning, a range within one record.
+END, WHOLE, BEGINNING, MIDDLE = range(4)
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in order -> records. A file's first record is its header and is left out."""
+    here, inside, begun, header = None, False, True, False
+    lines: list[str] = []
+    out: list[tuple] = []
+
+    def close(part: int) -> None:
+        out.append((*here, part, "\n".join(lines)))
+        lines.clear()
+
+    for batch in batches:
+        for file, start, odd, line in zip(*(column.to_pylist() for column in batch.columns)):
+            if (file, start) != here:
+                if lines:
+                    close(BEGINNING if begun else MIDDLE)
+                here, inside, begun, header = (file, start), odd, not odd, start == 0
+            lines.append(line.removesuffix("\r"))
+            inside ^= line.count('"') % 2 == 1
+            if not inside:
+                if header:
+                    lines.clear()
+                else:
+                    close(WHOLE if begun else END)
+                begun, header = True, False
+        yield _as_batch(out)
+        out.clear()
+    if lines:
+        close(BEGINNING if begun else MIDDLE)
+    yield _as_batch(out)
+
+
+def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
+    files, starts, parts, texts = zip(*rows) if rows else ((), (), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(files, pa.string()), pa.array(starts, pa.int64()), pa.array(parts, pa.int32()), pa.array(texts, pa.string())],
+        names=["file", "start", "part", "text"])
+
+
 def read_geojson_points(spark: SparkSession, path: str, properties: str | None = None, lines: bool = False) -> DataFrame:
     """Point features -> property columns, geometry, longitude, latitude.
 

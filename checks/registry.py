@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -176,6 +177,34 @@ def typed(spark, d):
     return clean.coerce_event_date(clean.coerce_coordinates(chosen, "latitude", "longitude"), "inc_date")
 
 
+@query("reject_counts", f"""
+SELECT reason, count(row_id) AS n FROM (VALUES {', '.join(f"('{r}')" for r in [*fixed.REJECT_REASONS, 'kept'])}) AS reasons(reason) LEFT JOIN (
+  SELECT row_id, CASE WHEN lower(trim(city)) <> 'atlanta' THEN 'other place' WHEN date IS NULL THEN 'no date'
+    WHEN lat IS NULL OR lon IS NULL THEN 'no coordinates' WHEN abs(lat) > 90 OR abs(lon) > 180 THEN 'coordinates out of range'
+    WHEN row_id NOT IN (SELECT row_id FROM fires) THEN 'not a fire' ELSE 'kept' END AS reason
+  FROM (SELECT row_id, city, TRY_CAST(latitude AS DOUBLE) AS lat, TRY_CAST(longitude AS DOUBLE) AS lon,
+          try_strptime(inc_date, '%Y-%m-%d %H:%M:%S') AS date FROM raw_incidents)) USING (reason) GROUP BY reason
+""")
+def reject_counts(spark, d):
+    return clean.reject_counts(raw(spark, d), **views.CITY)
+
+
+# Every raw stamp in other spellings: an offset, epoch milliseconds as a number and as text, long forms.
+@query("event_date_spellings", r"""
+SELECT event_id AS row_id, kind, CASE WHEN event_id % 101 <> 0 THEN CAST(ts AS DATE) END AS day
+FROM events, (VALUES ('epoch'), ('epoch_text'), ('long'), ('month_first'), ('offset')) AS kinds(kind)
+""")
+def event_date_spellings(spark, d):
+    stamp = F.col("ts").cast("timestamp")
+    known = views.table(spark, d, "events").select(F.col("event_id").alias("row_id"), F.when(F.col("event_id") % 101 != 0, stamp).alias("ts"))
+    rows = known.select(
+        "row_id", F.unix_millis("ts").alias("epoch"), F.unix_millis("ts").cast("string").alias("epoch_text"), F.date_format("ts", "d MMM yyyy H:mm").alias("long"),
+        F.date_format("ts", "MMMM d, yyyy").alias("month_first"), F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00")).alias("offset"))
+    kinds = [c for c in rows.columns if c != "row_id"]
+    days = [clean.coerce_event_date(rows, c).select("row_id", F.lit(c).alias("kind"), F.col("date").alias("day")) for c in kinds]
+    return reduce(DataFrame.unionByName, days)
+
+
 @query("filter_valid_coords", f"SELECT row_id, date, {r6('latitude', 'latitude')}, {r6('longitude', 'longitude')} FROM valid")
 def filter_valid_coords(spark, d):
     return clean.filter_valid_coords(typed(spark, d)).select("row_id", "date", "latitude", "longitude")
