@@ -15,6 +15,8 @@ from cellcast.operators.hotspot import apply_threshold, best_f1_threshold
 from cellcast.operators.split import cell_codes, encode_grid_id
 from cellcast.session import shared_dir, staged
 
+PART_BYTES = 128 << 20
+
 
 @dataclass
 class Forest:
@@ -65,11 +67,17 @@ def tree_nodes(model: RandomForestRegressionModel, spark: SparkSession) -> DataF
     )
 
 
+def feature_parts(rows: int) -> int:
+    """Parts for the feature vectors of so many rows: doubles for every feature, and the label."""
+    return -(-rows * 8 * (len(fixed.MODEL_FEATURES) + 1) // PART_BYTES)
+
+
 def train_forest(train: DataFrame, label: str = fixed.TARGET, tasks: int | None = None, **settings) -> Forest:
-    """Fit and tune. Codes and features are written once, evenly split (one part per core unless ``tasks``
-    is given), since fitting passes over them many times and every core should share in each pass."""
+    """Fit and tune. Codes and features are written once, evenly split, since fitting passes over them many times and every
+    core should share in each pass: one part per core, or as many as keep a part's features to ``PART_BYTES``, unless
+    ``tasks`` is given."""
     spark = train.sparkSession
-    tasks = tasks or spark.sparkContext.defaultParallelism
+    tasks = tasks or max(spark.sparkContext.defaultParallelism, feature_parts(train.count()))
     codes = staged(cell_codes(train), "cell-codes")
     rows = staged(feature_rows(train, codes).select("features", label).repartition(tasks), "forest-features")
     model = fit_forest(rows, label, **settings)

@@ -8,17 +8,22 @@ t in (0, 1) of a polynomial (Owen's multilinear extension), which Gauss-Legendre
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellcast import fixed
 from cellcast.operators.forest import Forest
 from cellcast.operators.sampling import ROW_KEY, sample_n
+from cellcast.session import staged
 
 TREES_PER_TASK = 4
 ROWS_PER_BLOCK = 1024
 CHUNK = 1 << 20  # leaf-row pairs worked on at once
+PACKED_BYTES = 256 << 20  # up to so many bytes of leaves are broadcast
 
 
 def leaf_games(nodes: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
@@ -45,14 +50,14 @@ def leaf_games(nodes: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
     return tuple(np.array(part) for part in zip(*leaves))
 
 
-def contributions(x: np.ndarray, nodes: pd.DataFrame) -> np.ndarray:
-    """Shapley values of one tree for rows x, with the tree's mean value as an extra last column.
+def contributions(x: np.ndarray, games: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Shapley values of one tree, given as ``leaf_games``, for rows x, with the tree's mean value as an extra last column.
 
     A leaf's factor for a feature is ``met`` where the row satisfies its condition and ``unmet`` where not;
     arrays are (rows, leaves), one feature at a time.
     """
     width = x.shape[1]
-    value, low, high, share = leaf_games(nodes, width)
+    value, low, high, share = games
     used = np.flatnonzero((share < 1).any(axis=0))
     points, weights = np.polynomial.legendre.leggauss((width + 1) // 2)
     out = np.zeros((len(x), width + 1))
@@ -77,13 +82,62 @@ def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str]
               tasks: int | None = None) -> DataFrame:
     """Keys, <feature>_shap for every feature and base_value, for any number of rows.
 
-    Work is cut into (bundle of trees) x (block of rows) groups, both of bounded size, and each group
-    returns sums over its trees; a second, partial-aggregated sum joins the bundles.
+    The forest is packed once, tree by tree, as arrays of its leaves. Up to ``PACKED_BYTES`` of them are broadcast and the rows
+    pass by once; neither nodes nor parts of sums are shuffled. A larger forest is worked through in groups instead.
     """
     features, keys = features or fixed.MODEL_FEATURES, keys or ROW_KEY
-    outputs = [*[f"{f}_shap" for f in features], "base_value"]
+    packed = staged(packed_forest(nodes, len(features)), "forest-leaves")
+    size = packed.agg(F.sum(F.octet_length("leaves"))).first()[0] or 0
+    if size > PACKED_BYTES:
+        return _shap_in_groups(rows, packed, trees, features, keys, tasks)
+    spark = rows.sparkSession
+    forest = spark.sparkContext.broadcast([bytes(r["leaves"]) for r in packed.select("leaves").toLocalIterator()])
+    width = len(features)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        games = [unpacked(leaves, width) for leaves in forest.value]
+        for batch in batches:
+            x = np.array(batch.column(len(keys)).to_pylist(), dtype=float).reshape(-1, width)
+            total = sum((contributions(x, game) for game in games), np.zeros((len(x), width + 1)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(keys)], *[pa.array(c) for c in (total / trees).T]], names=[*keys, *_outputs(features)])
+
+    # Few rows are much work: they are dealt out evenly, and not gathered again for their size in bytes.
+    tasks = tasks or spark.sparkContext.defaultParallelism
+    types = dict(rows.dtypes)
+    schema = ", ".join([*[f"{k} {types[k]}" for k in keys], *[f"{c} double" for c in _outputs(features)]])
+    return rows.select(*keys, _values(features).alias("x")).repartition(tasks).mapInArrow(work, schema)
+
+
+def _outputs(features: list[str]) -> list[str]:
+    return [*[f"{f}_shap" for f in features], "base_value"]
+
+
+def _values(features: list[str]) -> Column:
+    return F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
+
+
+def packed_forest(nodes: DataFrame, width: int) -> DataFrame:
+    """``tree_id, leaves``: each tree's ``leaf_games`` as bytes."""
+    def pack(tree: pd.DataFrame) -> pd.DataFrame:
+        value, low, high, share = leaf_games(tree, width)
+        leaves = np.concatenate([value[:, None], low, high, share], axis=1).astype("<f8").tobytes()
+        return pd.DataFrame({"tree_id": [int(tree["tree_id"].iloc[0])], "leaves": [leaves]})
+
+    return nodes.groupBy("tree_id").applyInPandas(pack, "tree_id bigint, leaves binary")
+
+
+def unpacked(leaves: bytes, width: int) -> tuple[np.ndarray, ...]:
+    table = np.frombuffer(leaves, dtype="<f8").reshape(-1, 1 + 3 * width)
+    return (table[:, 0].copy(), *(table[:, 1 + i * width:1 + (i + 1) * width].copy() for i in range(3)))
+
+
+def _shap_in_groups(rows: DataFrame, packed: DataFrame, trees: int, features: list[str], keys: list[str], tasks: int | None) -> DataFrame:
+    """Groups of (bundle of trees) x (block of rows), both of bounded size; each returns sums over its trees,
+    and a second, partial-aggregated sum joins the bundles."""
+    outputs, width = _outputs(features), len(features)
     bundles = -(-trees // TREES_PER_TASK)
-    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
+    values = _values(features)
     blocks = rows.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / ROWS_PER_BLOCK))).scalar()
     left = (
         rows.select(*keys, values.alias("x")).withColumn("_blocks", blocks)
@@ -91,7 +145,7 @@ def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str]
         .select(*keys, "x", "block", F.explode(F.sequence(F.lit(0), F.lit(bundles - 1))).alias("bundle"))
     )
     right = (
-        nodes.withColumn("bundle", F.floor(F.col("tree_id") / TREES_PER_TASK).cast("int")).withColumn("_blocks", blocks)
+        packed.withColumn("bundle", F.floor(F.col("tree_id") / TREES_PER_TASK).cast("int")).withColumn("_blocks", blocks)
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))).drop("_blocks")
     )
     key_types = ", ".join(f"{k} {dict(rows.dtypes)[k]}" for k in keys)
@@ -100,7 +154,7 @@ def tree_shap(rows: DataFrame, nodes: DataFrame, trees: int, features: list[str]
         if row_part.empty or node_part.empty:
             return pd.DataFrame(columns=[*keys, "parts"])
         x = np.array(row_part["x"].tolist(), dtype=float)
-        total = sum(contributions(x, tree) for _, tree in node_part.groupby("tree_id"))
+        total = sum(contributions(x, unpacked(leaves, width)) for leaves in node_part["leaves"])
         return row_part[keys].assign(parts=list(total))
 
     # The keyed exchanges carry an explicit count: the groups are small in bytes but heavy in work, so

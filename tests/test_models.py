@@ -125,7 +125,7 @@ def test_contributions_match_brute_force():
     for width, depth in ((3, 2), (4, 5), (5, 6)):
         nodes = random_tree(rng, width, depth)
         x = rng.normal(size=(6, width))
-        got = shapley.contributions(x, nodes)
+        got = shapley.contributions(x, shapley.leaf_games(nodes, width))
         for row, values in zip(x, got):
             assert values == pytest.approx(brute_shapley(row, nodes, width), abs=1e-12)
 
@@ -133,7 +133,7 @@ def test_contributions_match_brute_force():
 def test_one_split_tree_by_hand():
     nodes = pd.DataFrame([(0, 1, 2, 1, 0.5, 10.0, 0.0), (1, -1, -1, -1, np.nan, 4.0, 0.2), (2, -1, -1, -1, np.nan, 6.0, 0.7)],
                          columns=["id", "left", "right", "feature", "threshold", "cover", "value"])
-    got = shapley.contributions(np.array([[9.0, 0.5, 9.0], [9.0, 0.6, 9.0]]), nodes)
+    got = shapley.contributions(np.array([[9.0, 0.5, 9.0], [9.0, 0.6, 9.0]]), shapley.leaf_games(nodes, 3))
     assert got == pytest.approx(np.array([[0, -0.3, 0, 0.5], [0, 0.2, 0, 0.5]]))
 
 
@@ -173,6 +173,28 @@ def test_forest_scores_and_exact_additivity(spark, small_model):
     assert set(np.round(last, 9)) <= set(np.round(explained.rf_prob, 9))
 
 
+def test_broadcast_and_grouped_contributions_agree(spark, small_model, monkeypatch):
+    test, fitted = small_model
+    rows = forest.forest_scores(test, fitted).limit(40)
+    def shap():
+        return shapley.tree_shap(rows, fitted.nodes, fitted.model.getNumTrees)
+
+    whole = shap()
+    # The rows are dealt out; nodes are in no exchange.
+    assert "FlatMapCoGroups" not in whole._jdf.queryExecution().toString() and "MapInArrow" in whole._jdf.queryExecution().toString()
+    monkeypatch.setattr(shapley, "PACKED_BYTES", 0)
+    grouped = shap()
+    assert "FlatMapCoGroups" in grouped._jdf.queryExecution().toString()
+    a, b = (df.orderBy("grid_id", "date").toPandas() for df in (whole, grouped))
+    names = [f"{f}_shap" for f in fixed.MODEL_FEATURES] + ["base_value"]
+    assert len(a) == 40 and a[names].to_numpy() == pytest.approx(b[names].to_numpy(), abs=1e-12)
+
+
+def test_parts_follow_the_rows():
+    assert [forest.feature_parts(n) for n in (0, 1, 1_000_000, 10**9)] == [0, 1, 1, 895]
+    assert shapley.unpacked(np.arange(14.0).tobytes(), 2)[3].tolist() == [[5.0, 6.0], [12.0, 13.0]]
+
+
 def test_forest_is_better_than_chance_and_importance_sums_to_one(spark, small_model):
     test, fitted = small_model
     importance = forest.forest_importance(fitted).toPandas()
