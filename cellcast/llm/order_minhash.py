@@ -4,14 +4,16 @@ A document is its lower-cased words. Each of ``SKETCHES`` random orders picks th
 5-word windows and keeps them in text order; documents that agree in one such pair are candidates. A candidate pair is
 linked if its word alignment needs at most 0.2 edits for each word of the longer document (similarity 0.8 or more).
 
-Exact copies are one node. In a bucket every member meets the bucket's leader. Where a member is unlike it, all members
-of that leader go on to groups by their rarest words, which no alike pair can miss (prefix filter), and there everyone
-meets everyone who is not yet in the same class. So every candidate pair is verified, unlike by its words, or linked by others.
+Equal texts are one node, named by digest. In a bucket every member meets a leader. Members linked to it have its class, and an
+unlike member cannot be alike to one of them if it is further from the leader than the two distances allow (edits obey the
+triangle inequality; what words one text lacks bounds them from below). So after a round only unlike members and the few linked
+ones that this bound does not settle go on to the next leader. What is left after ``ROUNDS`` leaders meets in blocks of bounded
+size, where counts of words rule out most pairs and only links between classes are returned. So every pair that shares a
+bucket is verified, ruled out by a bound, or in one class already.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -19,15 +21,17 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from cellcast.llm.common import word_hashes, mix, shuffle_parts, staged, texts, unused
+from cellcast.llm.common import word_hashes, mix, staged, texts, unused
 from cellcast.llm.components import components
 
 WINDOW = 5
 SKETCHES = 16
 SIMILARITY = 0.8
-SLOTS = 1 << 16  # classes of words, of which the frequency is known
+ROUNDS = 2
+BLOCK = 256  # members of a bucket that meet in one task
+SLOTS, FINE_SLOTS = 256, 4096  # of word counts that rule out pairs
 NO_ID = (1 << 63) - 1
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 # Odd multipliers; windows are well mixed before, so that a product is order enough.
@@ -153,196 +157,202 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     return edits_within(a, b, _most(longest, similarity)) is not None
 
 
+def least_edits(a: np.ndarray, b: np.ndarray) -> int:
+    """A number of edits that turning one word sequence into the other needs at least: the words that either lacks."""
+    apart = np.bincount(a % FINE_SLOTS, minlength=FINE_SLOTS) - np.bincount(b % FINE_SLOTS, minlength=FINE_SLOTS)
+    return int(max(apart[apart > 0].sum(), -apart[apart < 0].sum()))
+
+
 def sketches(docs: DataFrame, count: int = SKETCHES) -> DataFrame:
-    """``doc, h1, h2, keys``: the text's 128-bit digest and its order keys (none without words)."""
+    """``doc, digest, keys``: the text's 128-bit digest and its order keys (none without words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, keys = [], []
-            for text in batch.column(1):
-                text = text.as_py()
-                digests.append(hashlib.md5(text.encode(), usedforsecurity=False).digest())
-                keys.append(order_keys(word_hashes(words_of(text)), count))
-            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc", "h1", "h2", "keys"])
+            keys = [order_keys(word_hashes(words_of(text.as_py())), count) for text in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["doc", "digest", "keys"])
 
-    return _numbered(docs).mapInArrow(run, "doc bigint, h1 bigint, h2 bigint, keys array<bigint>")
+    return _digested(docs).mapInArrow(run, "doc bigint, digest binary, keys array<bigint>")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
+def _digest(text: Column) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def _digested(docs: DataFrame) -> DataFrame:
+    return texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), _digest(F.col("text")).alias("digest"), "text")
 
 
 def _sequences(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, words`` (32-bit word hashes) of the given nodes ``(node, h1, h2)`` only."""
+    """``node, words`` (32-bit word hashes) of the given nodes ``(node, doc, digest)`` only."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out = [], []
-            for node, h1, h2, text in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3)):
-                text = text.as_py()
-                if hashlib.md5(text.encode(), usedforsecurity=False).digest() != np.array([h1, h2], "<i8").tobytes():
-                    continue  # another text under the same id
-                ids.append(node)
-                out.append((word_hashes(words_of(text)) >> np.uint64(32)).astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["node", "words"])
-
-    both = nodes.join(_numbered(docs), F.col("node") == F.col("doc")).select("node", "h1", "h2", "text")
+            out = [(word_hashes(words_of(text.as_py())) >> np.uint64(32)).astype("<u4").tobytes() for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "words"])
+
+    both = nodes.join(_digested(docs), ["doc", "digest"]).select("node", "text")
     return both.mapInArrow(run, "node bigint, words binary").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
-    """``node, leader, linked`` for each pair. A leader may be in most pairs: that join splits by its pairs."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(v.as_buffer(), dtype="<u4") for v in (x, y))
-                linked.append(alike(a, b, similarity))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["node", "leader", "linked"])
+def _words(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), dtype="<u4") for x in column]
 
-    return _with_words(pairs, sequences).mapInArrow(run, "node bigint, leader bigint, linked boolean")
 
+def _judged(pairs: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
+    """``node, leader, linked, apart`` for each pair: the edits between linked ones, else a bound from below.
+
+    A leader may be in most pairs: that join splits by its pairs.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked, apart = [], []
+            for a, b in zip(_words(batch.column(2)), _words(batch.column(3))):
+                most = _most(max(len(a), len(b)), similarity)
+                got = low = least_edits(a, b)
+                if low <= most:
+                    got = edits_within(a, b, most)
+                linked.append(got is not None and got <= most)
+                apart.append(got if linked[-1] else max(low, most + 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(apart, pa.int64())], names=["node", "leader", "linked", "apart"])
 
-def _with_words(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     own = sequences.select("node", F.col("words").alias("a"))
     other = sequences.select(F.col("node").alias("leader"), F.col("words").alias("b"))
-    return pairs.join(own, "node").join(other, "leader").select("node", "leader", "a", "b")
-
-
-def _pairs(met: DataFrame, parts: int) -> DataFrame:
-    return met.select("node", "leader").distinct().repartition(parts, "node", "leader")
+    both = pairs.join(own, "node").join(other, "leader").select("node", "leader", "a", "b")
+    return both.mapInArrow(run, "node bigint, leader bigint, linked boolean, apart bigint")
 
 
 def _most(words: int, similarity: float) -> int:
     return int(round((1 - similarity) * words, 6))
 
 
-def _frequencies(sequences: DataFrame) -> np.ndarray:
-    """Words of each of ``SLOTS`` classes of word hashes: as many rows come back, whatever the corpus."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SLOTS, dtype=np.int64)
-        for batch in batches:
-            for words in batch.column(0):
-                total += np.bincount(np.frombuffer(words.as_buffer(), dtype="<u4") % SLOTS, minlength=SLOTS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["slot", "n"])
-
-    out = np.zeros(SLOTS, dtype=np.int64)
-    for r in sequences.select("words").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-        out[r["slot"]] = r["n"]
-    return out
-
-
-def labelled_words(words: np.ndarray) -> np.ndarray:
-    """Each word with the number of its equals before it, so that a text is a set."""
-    order = np.argsort(words, kind="stable")
-    low, at = words[order], np.arange(len(words))
-    first = np.r_[True, low[1:] != low[:-1]][:len(words)]
-    out = np.empty(len(words), dtype=np.uint64)
-    out[order] = (low.astype(np.uint64) << np.uint64(32)) | (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
-    return out
+def _left(met: DataFrame, similarity: float) -> DataFrame:
+    """``key, node, size`` of the members that may be alike to a member of another class, of all that have met their leader.
 
-
-def rare_words(words: np.ndarray, leader: np.ndarray, frequencies: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """The first words by an order that all members of a leader share: those it lacks first, then by frequency.
-
-    Alike texts have all but ``_most`` of the longer one's words in common, so of each text ``_most + 1`` words are enough
-    for both to have one of them.
+    Let B be linked to the leader A and C not. Then B and C need at least apart(C) - apart(B) edits, and alike texts at most
+    ``1 - similarity`` for each word of the longer.
     """
-    own = labelled_words(words)
-    often = frequencies[(own >> np.uint64(32)).astype(np.int64) % SLOTS]
-    return own[np.lexsort((mix(own), often, np.isin(own, labelled_words(leader))))[:_most(len(own), similarity) + 1]]
-
-
-def _rare_groups(pairs: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
-    """``key, node, size`` of each pair's node: a key for its leader and each of the node's rarest words."""
-    frequencies = sequences.sparkSession.sparkContext.broadcast(_frequencies(sequences))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, rare = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(v.as_buffer(), dtype="<u4") for v in (x, y))
-                sizes.append(len(a))
-                rare.append(rare_words(a, b, frequencies.value, similarity).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(rare, pa.list_(pa.int64()))],
-                names=["node", "leader", "size", "rare"])
-
-    out = _with_words(pairs, sequences).mapInArrow(run, "node bigint, leader bigint, size bigint, rare array<bigint>")
-    return out.select("node", "size", "leader", F.explode("rare").alias("word")).select(
-        F.xxhash64("leader", "word").alias("key"), "node", "size").distinct()
+    share = 1 - similarity
+    unlike = F.when(~F.col("linked"), F.col("apart"))
+    edge = met.groupBy("key").agg(
+        F.min(unlike - share * F.col("size")).alias("own"), F.min(unlike).alias("nearest"),
+        F.max(F.when(F.col("linked"), F.col("size"))).alias("longest"))
+    edge = edge.filter("nearest IS NOT NULL").select("key", F.least("own", F.col("nearest") - share * F.col("longest")).alias("edge"))
+    return met.join(edge, "key").filter(~F.col("linked") | (F.col("apart") >= F.col("edge") - 1e-6)).select("key", "node", "size")
+
+
+def _counts(words: list[np.ndarray], slots: int) -> np.ndarray:
+    """A row of word counts for each text, as narrow as its longest one allows."""
+    kind = np.uint16 if max(map(len, words)) < 1 << 16 else np.int64
+    return np.array([np.bincount(w % slots, minlength=slots).astype(kind) for w in words])
+
+
+def _meeting(similarity: float):
+    """Links between the classes of blocks: a spanning set for each key."""
+    def run(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_numpy()
+        order = np.argsort(keys, kind="stable")
+        nodes, classes, sides = (table.column(c).to_numpy() for c in ("node", "class", "side"))
+        words = _words(table.column("words").combine_chunks())
+        out: list[tuple[int, int]] = []
+        for own in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
+            size = np.array([len(words[i]) for i in own])
+            coarse, fine = (_counts([words[i] for i in own], slots) for slots in (SLOTS, FINE_SLOTS))
+            label, side = classes[own].copy(), sides[own]
+            for i in range(len(own)):
+                # Of two blocks, members of the first meet those of the second; of one, each meets those behind it.
+                there = np.flatnonzero((label != label[i]) & ((side == 1) & (side[i] == 0) | (side == 2) & (np.arange(len(own)) > i)))
+                for counts in (coarse, fine):  # most pairs are ruled out by the first
+                    longer = np.maximum(size[there], size[i])
+                    common = np.minimum(counts[there], counts[i]).sum(axis=1, dtype=np.int64)
+                    there = there[longer - common <= np.round((1 - similarity) * longer, 6)]
+                for j in there.tolist():
+                    if label[i] != label[j] and alike(words[own[i]], words[own[j]], similarity):
+                        out.append((int(nodes[own[j]]), int(nodes[own[i]])))
+                        label[label == label[j]] = label[i]
+        return pa.table({"node": pa.array([a for a, _ in out], pa.int64()), "leader": pa.array([b for _, b in out], pa.int64())})
+
+    return run
+
+
+def _all_met(left: DataFrame, links: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
+    """Links between members of a key that are in different classes of ``links``: all blocks of a key meet in pairs.
+
+    Keys of one block share tasks. Blocks are dealt by hash, so that a task has two blocks' members at most.
+    """
+    named = left.join(components(links, "node", "leader"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
+    several = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
+    several = several.filter("low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = staged(named.join(several, "key").join(sequences, "node"), "members")
+    tasks = max(1, rows.count() // BLOCK)
+    one = rows.filter("blocks = 1").select(
+        F.pmod(F.xxhash64("key"), F.lit(tasks)).alias("task"), F.lit(-1).alias("a"), F.lit(-1).alias("b"), "key", "node", "class", F.lit(2).alias("side"), "words")
+    many = rows.filter("blocks > 1").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
+    many = many.select(F.col("key").alias("task"), F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"),
+                       "key", "node", "class", side.alias("side"), "words")
+    return one.unionByName(many).groupBy("task", "a", "b").applyInArrow(_meeting(similarity), "node bigint, leader bigint")
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links ``(node, leader)`` between the distinct texts ``nodes (node, h1, h2, keys)``.
+    """Verified links ``(node, leader)`` between the distinct texts ``nodes (node, doc, digest, keys)``; ``doc`` has the text.
 
-    The classes of the links are those of all alike pairs that share a bucket: a pair is left out only if it is in one
-    class already or its words are too unlike. Each bucket first costs one comparison a member.
+    The classes of the links are those of all alike pairs that share a bucket.
     """
-    parts = 4 * shuffle_parts(docs.sparkSession)
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     members = staged(keyed.join(shared, "key"), "members")
     own = nodes.join(members.select("node").distinct(), "node")
-    sequences = staged(_sequences(docs, own.select("node", "h1", "h2")), "sequences")
-    leaders = members.groupBy("key").agg(F.min("node").alias("leader"))
-    pairs = _pairs(members.join(leaders, "key").filter("node <> leader"), parts)
-    judged = staged(_verified(pairs, sequences, similarity), "judged")
-    unlike = judged.filter("not linked").select("leader").distinct()
-    going_on = judged.select("node", "leader").join(unlike, "leader").select("node", "leader").repartition(parts, "node", "leader")
-    return _all_met(staged(_rare_groups(going_on, sequences, similarity), "members"), judged, sequences, similarity, parts)
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _all_met(members: DataFrame, judged: DataFrame, sequences: DataFrame, similarity: float, parts: int) -> DataFrame:
-    """The links of ``judged`` and those within the groups: each round has eight times as many leaders a group.
-
-    A leader meets all of its group that are of another class and of a fitting size. A group ends when it is one class.
-    """
-    every, turn = [judged], 0
-    while True:
-        links = _union(every).filter("linked").select("node", "leader")
-        if members.isEmpty():
-            return links
-        classes = components(links, "node", "leader")
-        named = members.join(classes, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("class"))
-        several = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
-        members = staged(named.join(several, "key"), "members")
-        slot = F.pmod(F.xxhash64("node"), F.lit(1 << min(3 * turn, 60))).alias("slot")
-        led = staged(members.groupBy("key", slot).agg(F.min(F.struct("node", "size", "class")).alias("led")).select("key", "led"), "leaders")
-        longer = F.greatest("size", "led.size")
-        fits = F.abs(F.col("size") - F.col("led.size")) <= F.round((1 - similarity) * longer, 6)
-        met = members.join(led, "key").filter((F.col("class") != F.col("led.class")) & fits)
-        met = met.select(F.greatest("node", "led.node").alias("node"), F.least("node", "led.node").alias("leader"))
-        pairs = _pairs(met, parts).join(_union(every).select("node", "leader"), ["node", "leader"], "left_anti")
-        every.append(staged(_verified(pairs, sequences, similarity), "judged"))
-        done = led.select("key", F.col("led.node").alias("node"))
-        members = staged(members.join(done, ["key", "node"], "left_anti").select("key", "node", "size"), "members")
-        turn += 1
+    sequences = staged(_sequences(docs, own.select("node", "doc", "digest")), "sequences")
+    sizes = sequences.select("node", (F.octet_length("words") / 4).cast("bigint").alias("size"))
+    left, links = members.join(sizes, "node").select("key", "node", "size"), []
+    for _ in range(ROUNDS):
+        leaders = left.groupBy("key").agg(F.min("node").alias("leader"))
+        met = left.join(leaders, "key").filter("node <> leader")
+        pairs = met.select("node", "leader").distinct()
+        judged = staged(_judged(pairs, sequences, similarity), "judged")
+        links.append(judged.filter("linked").select("node", "leader"))
+        left = staged(_left(met.join(judged, ["node", "leader"]), similarity), "members")
+        if left.isEmpty():
+            return reduce(DataFrame.unionByName, links)
+    found = staged(reduce(DataFrame.unionByName, links), "links")
+    return found.unionByName(staged(_all_met(left, found, sequences, similarity), "links"))
+
+
+def classified(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc, digest, class_doc, kept`` for every row of ``docs``: its id (null: ``NO_ID``), its text's digest, its class."""
+    rows = staged(sketches(docs), "sketches")
+    nodes = rows.groupBy("digest").agg(F.min("doc").alias("doc"), F.first("keys").alias("keys"))
+    nodes = staged(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    classes = staged(components(near_links(docs, nodes, similarity), "node", "leader"), "classes")
+    named = nodes.join(classes, "node", "left").select("doc", "digest", F.coalesce("component", "node").alias("class"))
+    best = named.groupBy("class").agg(F.min(F.struct("doc", "digest")).alias("best"))
+    named = named.join(best, "class").select("digest", "best")
+    kept = (F.col("doc") == F.col("best.doc")) & (F.col("digest") == F.col("best.digest"))
+    return rows.select("doc", "digest").join(named, "digest").select("doc", "digest", F.col("best.doc").alias("class_doc"), kept.alias("kept"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, class_id, kept`` for every row; the class id is its smallest ``doc_id``, which is the one kept.
+    """``doc_id, class_id, kept`` for every row; the class id is the smallest ``doc_id`` of the class, the row with it is kept.
 
-    Null and empty texts equal each other; texts without words match exact copies only. Rows that share a
-    ``doc_id`` are one document, null ids are one document after all others (its class id is null if alone).
+    Null and empty texts equal each other; texts without words match exact copies only. Texts are told apart by digest, so
+    different texts under one id, or without an id, are documents of their own; null ids come last, and a class
+    without any other has a null class id. Of two texts with the class's id the one with the smaller digest is kept. Rows
+    equal in id and text are one document.
     """
-    rows = staged(sketches(docs), "sketches")
-    nodes = staged(rows.groupBy("h1", "h2").agg(F.min_by("keys", "doc").alias("keys"), F.min("doc").alias("node")), "nodes")
-    classes = staged(components(near_links(docs, nodes, similarity), "node", "leader"), "classes")
-    named = nodes.join(classes, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("class_id"))
-    id_ = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias("doc_id" if c == "doc" else c)
-    joined = rows.select("doc", "h1", "h2").join(named, ["h1", "h2"])
-    return joined.select(id_("doc"), id_("class_id"), (F.col("doc") == F.col("class_id")).alias("kept"))
+    id_ = lambda c, name: F.when(F.col(c) != NO_ID, F.col(c)).alias(name)
+    return classified(docs, similarity).select(id_("doc", "doc_id"), id_("class_doc", "class_id"), "kept")
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns."""
-    (id_,) = unused(docs, "_kept_id")
-    gone = near_duplicates(docs, similarity).filter("not kept").select(F.col("doc_id").alias(id_)).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col(id_)), "left_anti")
+    """One row of each class, all columns. Of rows equal in id and text any one stays."""
+    id_, digest, doc, own = unused(docs, "_kept_id", "_kept_digest", "_own_id", "_own_digest")
+    rows = staged(classified(docs, similarity).groupBy("doc", "digest").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("n")), "classes")
+    keys = lambda df: df.select(F.col("doc").alias(id_), F.col("digest").alias(digest))
+    same = (F.col(doc) == F.col(id_)) & (F.col(own) == F.col(digest))
+    keyed = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)), own: _digest(F.coalesce(F.col("text"), F.lit("")))})
+    repeated = rows.filter("kept AND n > 1")
+    if repeated.isEmpty():
+        return keyed.join(keys(rows.filter("not kept")), same, "left_anti").select(*docs.columns)
+    once = keyed.join(keys(rows.filter("not kept OR n > 1")), same, "left_anti")
+    more = keyed.join(keys(repeated), same, "left_semi").dropDuplicates([doc, own])
+    return once.unionByName(more).select(*docs.columns)

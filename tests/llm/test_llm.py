@@ -130,6 +130,23 @@ def test_quality_model_against_numpy(spark):
     assert np.allclose([got[i].distance for i in sorted(got)], d, rtol=1e-6)
 
 
+@pytest.mark.parametrize("n", [39, 40])
+def test_small_groups_are_judged_by_their_language_or_by_all(spark, n):
+    rng = random.Random(n)
+    rows = [(i, prose(rng, rng.randint(60, 200)), "en", f"s{i % 3}", 0) for i in range(200)]
+    rows += [(1000 + i, prose(rng, rng.randint(60, 200)), "en", "small", 0) for i in range(n - 1)] + [(2000, "### ".join(prose(rng, 80).split()), "en", "small", 0)]
+    rows += [(3000 + i, prose(rng, 90), "de", None, 0) for i in range(5)] + [(4000, "### ".join(prose(rng, 80).split()), None, "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    stats = quality_rules.staged(quality_rules.text_stats(docs), "stats")
+    models = {r.grp: (r.model, set(r.models)) for r in quality_rules.model_of_group(stats).collect()}
+    en, small = 'language {"lang":"en"}', '{"lang":"en","source":"small"}'
+    assert models[small][0] == (small if n == 40 else en) and models['{"lang":"de"}'][0] == models['{"source":"x"}'][0] == quality_rules.EVERYTHING
+    assert models[small][1] == ({small, "all"} if n == 40 else {en, "all"})
+    got = quality_rules.judged(docs).collect()
+    assert all(r.distance is not None for r in got if not r.base_failed)
+    assert {r.doc_id for r in got if not r.kept} == {2000, 4000}
+
+
 def test_one_repeated_line_is_no_outlier_but_many_symbols_are(spark):
     rng = random.Random(12)
     rows = [(i, "\n".join(prose(rng, 40) for _ in range(3)), "en", "s", 0) for i in range(100)]
@@ -170,74 +187,101 @@ def test_banded_alignment():
         assert got == (want if want <= most else None)
 
 
+def alike_by_edits(a, b):
+    x, y = order_minhash.words_of(a), order_minhash.words_of(b)
+    longest = max(len(x), len(y))
+    return bool(x and y and abs(len(x) - len(y)) <= 0.2 * longest and longest < 3000 and edit_distance(x, y) <= int(round(0.2 * longest, 6)))
+
+
 def classes_by_pairs(rows):
-    ids = sorted({order_minhash.NO_ID if r[0] is None else r[0] for r in rows})
-    words = {order_minhash.NO_ID if r[0] is None else r[0]: order_minhash.words_of(r[1] or "") for r in rows}
-    raw = {order_minhash.NO_ID if r[0] is None else r[0]: r[1] or "" for r in rows}
-    low = {i: i for i in ids}
-    for i in ids:
-        for j in ids:
-            longest = max(len(words[i]), len(words[j]))
-            if i < j and (raw[i] == raw[j] or words[i] and words[j] and abs(len(words[i]) - len(words[j])) <= 0.2 * longest
-                          and longest < 3000 and edit_distance(words[i], words[j]) <= int(round(0.2 * longest, 6))):
-                a, b = low[i], low[j]
-                low = {k: min(a, b) if v in (a, b) else v for k, v in low.items()}
-    return low
+    """For each row (id, text) its class's first (id, digest) and its own, null ids last."""
+    texts = {}
+    for r in rows:
+        i, t = order_minhash.NO_ID if r[0] is None else r[0], r[1] or ""
+        texts[t] = min(texts.get(t, i), i)
+    low = {t: (i, hashlib.md5(t.encode()).digest()) for t, i in texts.items()}
+    for a in texts:
+        for b in texts:
+            if a < b and alike_by_edits(a, b):
+                x, y = low[a], low[b]
+                low = {t: min(x, y) if v in (x, y) else v for t, v in low.items()}
+    return [(low[r[1] or ""], (order_minhash.NO_ID if r[0] is None else r[0], hashlib.md5((r[1] or "").encode()).digest())) for r in rows]
 
 
 def test_near_duplicates(docs, empty):
     want = classes_by_pairs(corpus())
-    no = order_minhash.NO_ID
-    for r in order_minhash.near_duplicates(docs).collect():
-        mine = no if r.doc_id is None else r.doc_id
-        assert (no if r.class_id is None else r.class_id) == want[mine] and r.kept == (want[mine] == mine)
+    id_ = lambda i: None if i == order_minhash.NO_ID else i
+    got = [(r.doc_id, r.class_id, r.kept) for r in order_minhash.near_duplicates(docs).collect()]
+    assert ordered(got) == ordered([(id_(own[0]), id_(best[0]), own == best) for best, own in want])
     out = order_minhash.one_of_each(docs)
     assert out.columns == docs.columns
-    assert {no if r.doc_id is None else r.doc_id for r in out.collect()} == set(want.values())
+    assert ordered(r.doc_id for r in out.collect()) == ordered(id_(best[0]) for best in {best for best, _ in want})
     assert rows_of(order_minhash.near_duplicates(empty)) == []
 
 
-def test_unlike_members_of_a_bucket_meet_all_others(spark):
-    rng = random.Random(3)
-    base = [prose(rng, 80) for _ in range(7)]
-    rows = [(i, t) for i, t in enumerate(base)] + [(10 + i, t + " more") for i, t in enumerate(base)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    nodes = order_minhash.sketches(docs).select(F.col("doc").alias("node"), "h1", "h2", F.array(F.lit(1), F.lit(2)).cast("array<bigint>").alias("keys"))
-    got = {(r.leader, r.node) for r in order_minhash.near_links(docs, nodes).collect()}
-    assert {(i, 10 + i) for i in range(7)} <= {tuple(sorted(p)) for p in got}
-    assert all(a % 10 == b % 10 for a, b in got)
+def test_texts_under_null_and_repeated_ids_stay(spark):
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    rows = [(1, a), (None, a + " more"), (None, b), (None, c), (2, d), (2, a)]
+    out = order_minhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert ordered((r.doc_id, r.text) for r in out) == ordered([(1, a), (None, b), (None, c), (2, d)])
+    rows = [(None, t) for t in (a, b, a, c + " x", c, d, a)]
+    out = order_minhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(out) == 4 and {r.text for r in out} <= {a, b, c, c + " x", d}
 
 
-def test_every_alike_pair_of_a_bucket_is_found(spark):
-    rng = random.Random(4)
+def nodes_with(docs, keys):
+    own = order_minhash.sketches(docs)
+    return own.select(F.col("doc").alias("node"), "doc", "digest", keys.cast("array<bigint>").alias("keys"))
+
+
+@pytest.mark.parametrize("rounds,block", [(4, 256), (1, 256), (1, 4)])
+def test_unlike_members_of_a_bucket_meet_all_others(spark, rounds, block, monkeypatch):
+    monkeypatch.setattr(order_minhash, "ROUNDS", rounds)
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    rng = random.Random(3)
     base = [prose(rng, 80) for _ in range(7)]
     chain = prose(rng, 100).split()
     near = chain[:10] + ["x"] * 15 + chain[25:]
     far = near[:60] + ["y"] * 15 + near[75:]
     rows = list(enumerate(base)) + [(10 + i, t + " more") for i, t in enumerate(base)]
     docs = spark.createDataFrame(rows + [(i, " ".join(w)) for i, w in zip((20, 21, 22), (chain, near, far))], "doc_id bigint, text string")
-    for keys in (range(16), range(1)):  # all sketches agree: no finer bucket can part them
-        same = F.array(*map(F.lit, keys)).cast("array<bigint>").alias("keys")
-        nodes = order_minhash.sketches(docs).select(F.col("doc").alias("node"), "h1", "h2", same)
+    for keys in (range(16), range(1)):
+        nodes = nodes_with(docs, F.array(*map(F.lit, keys)))
         got = components.components(order_minhash.near_links(docs, nodes), "node", "leader").collect()
         want = {(i + d, i) for i in range(7) for d in (0, 10)} | {(i, 20) for i in (20, 21, 22)}
         assert {(r.node, r.component) for r in got} == want
     # The chain alone: its end is unlike the leader, and alike to one that the leader is linked to.
-    some = nodes.filter("node >= 20")
-    got = components.components(order_minhash.near_links(docs, some), "node", "leader").collect()
+    got = components.components(order_minhash.near_links(docs, nodes.filter("node >= 20")), "node", "leader").collect()
     assert {(r.node, r.component) for r in got} == {(i, 20) for i in (20, 21, 22)}
 
 
-def test_rare_words_meet(spark):
+def test_recall_among_many_unlike_texts(spark):
+    """Texts that share a long passage meet in many buckets, a few pairs of them are alike: all that share a bucket are found."""
+    rng = random.Random(9)
+    passage = prose(rng, 60)
+    texts = [f"{prose(rng, 30)} {passage} {prose(rng, 30)}" for _ in range(150)]
+    for t in texts[:60]:
+        words = t.split()
+        for _ in range(rng.randint(1, 8)):
+            words[rng.randrange(len(words))] = "changed"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    nodes = order_minhash.sketches(docs).withColumn("node", F.col("doc"))
+    keys = {r.node: set(r["keys"]) for r in nodes.collect()}
+    words = [np.array([hash(w) & 0xFFFFFFFF for w in order_minhash.words_of(t)], "u4") for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if order_minhash.alike(words[i], words[j])]
+    classes = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()}
+    assert all(classes[i] == classes[j] for i, j in pairs if keys[i] & keys[j])
+    assert sum(classes[i] == classes[j] for i, j in pairs) >= 0.99 * len(pairs) and len(set(classes.values())) == 150
+
+
+def test_bounds_on_edits():
     rng = random.Random(6)
-    often = np.array([rng.randint(0, 9) for _ in range(order_minhash.SLOTS)])
-    for _ in range(500):
-        a = [rng.randint(0, 60) for _ in range(rng.randint(1, 60))]
-        b = [w if rng.random() > 0.1 else rng.randint(0, 60) for w in a]
-        a, b = np.array(a, "u4"), np.array(b[rng.randint(0, 3):] or a, "u4")
-        lead = np.array([rng.randint(0, 60) for _ in range(30)], "u4")
-        if order_minhash.alike(a, b):
-            assert set(order_minhash.rare_words(a, lead, often).tolist()) & set(order_minhash.rare_words(b, lead, often).tolist())
+    for _ in range(300):
+        a = [rng.randint(0, 9000) for _ in range(rng.randint(0, 40))]
+        b = [w if rng.random() > 0.2 else rng.randint(0, 60) for w in a][rng.randint(0, 3):]
+        assert order_minhash.least_edits(np.array(a, "u4"), np.array(b, "u4")) <= edit_distance(a, b)
 
 
 def test_components(spark):
@@ -453,6 +497,22 @@ def test_filter_levels():
     assert (other == 0).mean() > 0.9
 
 
+def test_later_rounds_teach_what_is_left():
+    rng = np.random.default_rng(2)
+    p = np.round(rng.random(5000), 2)
+    left, taught = np.ones(len(p), dtype=bool), []
+    for _ in range(3):
+        at, labels = cotraining.surest(p, left)
+        want = [i for i in sorted(range(len(p)), key=lambda i: (-p[i], i)) if left[i]]
+        good = [i for i in want[:cotraining.A_ROUND] if p[i] >= cotraining.SURE]
+        bad = [i for i in want[::-1][:cotraining.A_ROUND] if p[i] <= 1 - cotraining.SURE]
+        assert at.tolist() == good + bad and labels.tolist() == [1.0] * len(good) + [0.0] * len(bad)
+        left[at] = False
+        taught.append(len(at))
+    sure = int(((p >= cotraining.SURE) | (p <= 1 - cotraining.SURE)).sum())
+    assert sum(taught) == min(sure, sum(taught)) and (taught[1] > 0 or taught[0] == sure)
+
+
 def test_co_training(spark, empty):
     rng = random.Random(9)
     rows, labels = [], []
@@ -516,7 +576,6 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
     # The same stages by brute force, where the first and fourth take their own decisions.
     kept = quality_rules.accepted(stage_docs).collect()
     lines = brute_lines([tuple(r) for r in kept])
-    low = classes_by_pairs([(r[0], r[1]) for r in lines])
-    stay = {i for i, c in low.items() if i == c}
+    stay = {best[0] for best, _ in classes_by_pairs([(r[0], r[1]) for r in lines])}
     out = corpus_pipeline.run(spark, path).collect()
     assert {r.doc_id for r in out} == {None if i == order_minhash.NO_ID else i for i in stay}
