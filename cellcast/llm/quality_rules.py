@@ -29,7 +29,8 @@ INNER_QUANTILE = 6.626  # chi-squared, 5 degrees of freedom, at INNER
 CUTOFF = 35.9  # the same at 0.999999
 STEPS = 5
 BINS = 1024
-LEAST = 40  # a group with fewer usable rows has no estimate and keeps what the base rules keep
+LEAST = 40  # usable rows from which on a group has an estimate of its own
+EVERYTHING = "all"  # the estimate of all rows
 
 
 def n_repeat_words(words: list[str]) -> int:
@@ -131,12 +132,28 @@ def _classes(rows: DataFrame, models: DataFrame) -> DataFrame:
     return folded.withColumn("inner", inner).filter("inner").withColumn("edge", F.pow(F.lit(2.0), (F.col("bin") + 1) / 32) - 1)
 
 
-def fit(stats: DataFrame, steps: int = STEPS) -> DataFrame:
-    """``grp, centre, precision, factor`` from all rows that pass the base rules (``stats`` is staged: it is read again)."""
-    rows = stats.filter("not base_failed").select("grp", *STATS)
+def model_of_group(stats: DataFrame) -> DataFrame:
+    """``grp, model, models``: the estimate that judges a group, and all that its rows take part in.
+
+    That is its own from ``LEAST`` usable rows on, else that of its language, else that of all rows, so every group has one.
+    """
+    language = F.concat(F.lit("language "), F.to_json(F.struct(F.get_json_object("grp", "$.lang").alias("lang"))))
+    sizes = staged(stats.filter("not base_failed").groupBy("grp").agg(F.count("*").alias("n")).withColumn("language", language), "groups")
+    whole = sizes.groupBy("language").agg(F.sum("n").alias("n_language"))
+    wider = F.when(F.col("n_language") >= LEAST, F.col("language")).otherwise(F.lit(EVERYTHING))
+    named = staged(sizes.join(whole, "language").withColumn("model", F.when(F.col("n") >= LEAST, F.col("grp")).otherwise(wider)), "groups")
+    # A wider estimate is made of all rows of its language, or of all, where any group needs it.
+    needed = named.select(F.col("model").alias("m")).distinct()
+    parts = named.select("grp", "model", F.explode(F.array("grp", "language", F.lit(EVERYTHING))).alias("m")).join(needed, "m", "left_semi")
+    return staged(parts.groupBy("grp", "model").agg(F.collect_set("m").alias("models")), "groups")
+
+
+def fit(stats: DataFrame, groups: DataFrame, steps: int = STEPS) -> DataFrame:
+    """``grp, centre, precision, factor`` of each estimate, from all rows that pass the base rules (both tables are staged)."""
+    rows = stats.filter("not base_failed").join(groups.select("grp", "models"), "grp").select(F.explode("models").alias("grp"), *STATS)
     # The start: median and interquartile range of each statistic, exact over values rounded to hundredths.
     quarts = [F.percentile(F.round(s, 2), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, s in enumerate(STATS)]
-    start = rows.groupBy("grp").agg(F.count("*").alias("n"), *quarts).filter(F.col("n") >= LEAST)
+    start = rows.groupBy("grp").agg(*quarts)
     spread = lambda i, s: F.greatest((F.get(f"q{i}", F.lit(2)) - F.get(f"q{i}", F.lit(0))) / 1.349, F.lit(s))
     centre = F.array(*[F.get(f"q{i}", F.lit(1)) for i in range(len(STATS))])
     precision = F.array(*[1 / F.pow(spread(i, list(STATS.values())[i]), F.lit(2.0)) if i == j else F.lit(0.0) for i, j in PAIRS])
@@ -156,13 +173,15 @@ def fit(stats: DataFrame, steps: int = STEPS) -> DataFrame:
 
 
 def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """One row for each row of ``docs``: counts, ``base_failed``, ``distance`` (null without estimate) and ``kept``.
+    """One row for each row of ``docs``: counts, ``base_failed``, ``distance`` (null only where no row of the group passes the base
+    rules) and ``kept``.
 
     Null and empty texts have no words and so fail the base rules. Null language or source is a group of its own.
     """
     stats = staged(text_stats(docs), "stats")
-    models = fit(stats)
-    joined = stats.join(models, "grp", "left").withColumn("distance", _distance() / F.col("factor"))
+    groups = model_of_group(stats)
+    models = fit(stats, groups).withColumnRenamed("grp", "model")
+    joined = stats.join(groups.select("grp", "model"), "grp", "left").join(models, "model", "left").withColumn("distance", _distance() / F.col("factor"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return joined.select(
         "doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
