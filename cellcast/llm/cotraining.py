@@ -85,6 +85,15 @@ class Model:
         return sigmoid(z[0]), sigmoid(z[1]), sigmoid(_with_one(*z) @ self.combined)
 
 
+def surest(p: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the documents that no round has taught yet, the surest good and bad ones and their labels."""
+    at = np.flatnonzero(left)
+    order = at[np.argsort(-p[at], kind="stable")]
+    good, bad = order[:A_ROUND], order[::-1][:A_ROUND]
+    good, bad = good[p[good] >= SURE], bad[p[bad] <= 1 - SURE]
+    return np.r_[good, bad], np.r_[np.ones(len(good)), np.zeros(len(bad))]
+
+
 def co_train(x: list[np.ndarray], y: np.ndarray, held: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> Model:
     own_x, own_y = [v[~held] for v in x], [y[~held].astype(float)] * 2
     left = np.ones(len(pool[0]), dtype=bool)
@@ -92,10 +101,7 @@ def co_train(x: list[np.ndarray], y: np.ndarray, held: np.ndarray, pool: list[np
     for _ in range(rounds):
         taught: list[tuple[np.ndarray, np.ndarray]] = []
         for view in (0, 1):
-            p = sigmoid(pool[view] @ views[view])
-            good = [i for i in np.argsort(-p, kind="stable")[:A_ROUND] if left[i] and p[i] >= SURE]
-            bad = [i for i in np.argsort(p, kind="stable")[:A_ROUND] if left[i] and p[i] <= 1 - SURE]
-            taught.append((np.array(good + bad, dtype=int), np.r_[np.ones(len(good)), np.zeros(len(bad))]))
+            taught.append(surest(sigmoid(pool[view] @ views[view]), left))
         for view in (0, 1):
             at, labels = taught[1 - view]
             own_x[view] = np.concatenate([own_x[view], pool[view][at]])
