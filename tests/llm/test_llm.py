@@ -565,6 +565,42 @@ def test_grammar_knows_the_format():
     assert not any(secret_grammar.likely(x, [model]) for x in ("Internationalization2024", "some-long-file_name-v12", "ABCDEFGHIJKLMN0P" * 2))
 
 
+def test_grammar_adds_spans_and_spares_words(spark):
+    """Keys of 12 and more characters, letters or digits only among them; words stay; a key around a fixed match goes whole."""
+    rng = random.Random(9)
+    key = lambda n: "".join(rng.choice("0123456789ABCDEFGHJKMNPQRSTVWXYZ") for _ in range(n))
+    words = ["".join(rng.choice("abcdefghiklmnoprstuw") for _ in range(rng.randint(2, 18))) for _ in range(300)]
+    prose = lambda: " ".join(rng.choices(words, k=60))
+    rows = [(i, f"{prose()} token={key(16 + i % 16)} {prose()}") for i in range(80)]
+    bare = {i: key(12 + i % 12) for i in range(100, 160)}
+    rows += [(i, f"{prose()} {k} {prose()}") for i, k in bare.items()]
+    held = "sk_live_Zx9QpL0123456789abcdef01TrWq88"
+    rows += [(200, f"{prose()} {held} {prose()}"), (201, prose().upper()), (202, None), (202, ""), (None, "=" * 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    text = {r[0]: r[1] for r in rows}
+    got = {r.doc_id: [x.split(":") for x in r.spans.split(",") if x] for r in secret_grammar.scan(df).collect()}
+    found = sum([text[i][int(a):int(b)] for _, a, b in got[i]] == [k] for i, k in bare.items())
+    assert found >= 45  # the threshold lets some labelled credentials go, and so some of these
+    assert all(len(got[i]) == 1 for i in range(80)) and not got[202] and not got[None]
+    assert [(k, text[200][int(a):int(b)]) for k, a, b in got[200]] == [("grammar", held), ("hex", "0123456789abcdef01")]
+    new = {r.doc_id: r.text for r in secret_grammar.masked(df).collect()}
+    assert new[200] == text[200].replace(held, "[SECRET]")
+    assert sum(k not in new[i] for i, k in bare.items()) == found
+
+
+def test_transitions_equal_a_count_by_hand(spark):
+    rows = [(1, "ab9 Zü=x"), (2, None), (3, "deadbeefdeadbeef zz"), (4, "A")]
+    got = secret_grammar.transitions(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    pairs = Counter()
+    for text in ("ab9 Zü=x", " " * 17 + "zz", "A"):
+        kinds = [k if k in secret_grammar.SYMBOLS else " " for k in secret_grammar.classes(f" {text} ")]
+        pairs.update(zip(kinds, kinds[1:]))
+    for a in " " + secret_grammar.SYMBOLS:
+        total = sum(pairs[a, b] + 1 for b in secret_grammar.SYMBOLS)
+        for b in secret_grammar.SYMBOLS:
+            assert got.steps[a, b] == pytest.approx(math.log2(max((pairs[a, b] + 1) / total, secret_grammar.FLOOR)))
+
+
 def test_pipeline_stages_keep_columns(spark, tmp_path):
     import corpus_pipeline
 
