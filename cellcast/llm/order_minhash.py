@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cellcast.llm.common import word_hashes, mix, staged, texts, unused
-from cellcast.llm.components import components
+from cellcast.llm.components import components, contracted
 
 WINDOW = 5
 SKETCHES = 16
@@ -273,12 +273,14 @@ def _meeting(similarity: float):
     return run
 
 
-def _all_met(left: DataFrame, links: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
-    """Links between members of a key that are in different classes of ``links``: all blocks of a key meet in pairs.
+def _all_met(left: DataFrame, stars: DataFrame, sequences: DataFrame, similarity: float) -> DataFrame:
+    """Links between members of a key that ``stars`` leave apart: all blocks of a key meet in pairs.
 
-    Keys of one block share tasks. Blocks are dealt by hash, so that a task has two blocks' members at most.
+    The smallest neighbour serves as a class: nodes of one class are linked. Classes that further links would join only
+    meet in vain. Keys of one block share tasks. Blocks are dealt by hash, so that a task has two blocks' members at most.
     """
-    named = left.join(components(links, "node", "leader"), "node", "left").select("key", "node", F.coalesce("component", "node").alias("class"))
+    lowest = stars.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("class"))
+    named = left.join(lowest, "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
     several = named.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"))
     several = several.filter("low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows = staged(named.join(several, "key").join(sequences, "node"), "members")
@@ -294,7 +296,7 @@ def _all_met(left: DataFrame, links: DataFrame, sequences: DataFrame, similarity
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified links ``(node, leader)`` between the distinct texts ``nodes (node, doc, digest, keys)``; ``doc`` has the text.
+    """Links ``(node, leader)``, verified or leading along verified ones, between the distinct texts ``nodes (node, doc, digest, keys)``; ``doc`` has the text.
 
     The classes of the links are those of all alike pairs that share a bucket.
     """
@@ -314,8 +316,9 @@ def near_links(docs: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY
         left = staged(_left(met.join(judged, ["node", "leader"]), similarity), "members")
         if left.isEmpty():
             return reduce(DataFrame.unionByName, links)
-    found = staged(reduce(DataFrame.unionByName, links), "links")
-    return found.unionByName(staged(_all_met(left, found, sequences, similarity), "links"))
+    stars = contracted(reduce(DataFrame.unionByName, links), "node", "leader")
+    found = stars.select(F.col("u").alias("node"), F.col("v").alias("leader"))
+    return found.unionByName(staged(_all_met(left, stars, sequences, similarity), "links"))
 
 
 def classified(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
