@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cellcast import fixed
 from cellcast.operators.grid import scalar
@@ -16,6 +16,7 @@ from cellcast.operators.split import cell_codes, encode_grid_id
 from cellcast.session import shared_dir, staged
 
 PART_BYTES = 128 << 20
+GIVEN_NODES = 4096  # of a given forest that is written out as one expression
 
 
 @dataclass
@@ -92,6 +93,36 @@ def forest_predict(rows: DataFrame, forest: Forest, threshold: float | None = No
     return apply_threshold(scored.select(*rows.columns, "rf_prob"), "rf_prob", "rf_pred", limit)
 
 
+def path_conditions(nodes: DataFrame, inputs: list[str]) -> Column:
+    """The mean over the trees of a given forest, as one expression over the columns ``inputs`` (nulls as 0).
+
+    ``nodes``: tree_id, id, left, right, feature (a place in ``inputs``), threshold, value, as ``tree_nodes`` has them; a leaf
+    has a negative left child, the root id 0. A value up to the threshold goes left. A forest of more than ``GIVEN_NODES`` nodes
+    is refused, since a plan cannot hold it: that is what ``forest_predict`` is for.
+    """
+    found = nodes.select("tree_id", "id", "left", "right", "feature", "threshold", "value").limit(GIVEN_NODES + 1).collect()
+    if not found or len(found) > GIVEN_NODES:
+        raise ValueError(f"a given forest has 1 to {GIVEN_NODES} nodes")
+    node = {(r["tree_id"], r["id"]): r for r in found}
+
+    def below(tree: int, place: int) -> Column:
+        r = node[tree, place]
+        if r["left"] < 0:
+            return F.lit(float(r["value"]))
+        value = F.coalesce(F.col(inputs[r["feature"]]).cast("double"), F.lit(0.0))
+        return F.when(value <= float(r["threshold"]), below(tree, r["left"])).otherwise(below(tree, r["right"]))
+
+    trees = sorted({tree for tree, _ in node})
+    return sum((below(tree, 0) for tree in trees), F.lit(0.0)) / len(trees)
+
+
+def given_forest_predict(rows: DataFrame, nodes: DataFrame, codes: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Add rf_prob and rf_pred by a given small forest: no model object, one expression in the scan's own stage."""
+    coded = encode_grid_id(rows, codes)
+    scored = coded.withColumn("rf_prob", path_conditions(nodes, fixed.MODEL_FEATURES))
+    return apply_threshold(scored.select(*rows.columns, "rf_prob"), "rf_prob", "rf_pred", F.lit(threshold))
+
+
 def forest_scores(rows: DataFrame, forest: Forest, threshold: float = 0.5) -> DataFrame:
     """Key, features, cell code, rf_prob and rf_pred by a fixed threshold: where explanations start from."""
     scored = forest.model.transform(feature_rows(rows, forest.codes))

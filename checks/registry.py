@@ -747,6 +747,54 @@ def evaluate_models(spark, d):
     return evaluate.evaluate_models(scored(spark, d))
 
 
+# --- prediction from given models ---------------------------------------------------------
+
+
+@query("arima_predict", f"""
+SELECT * FROM (WITH f AS (SELECT m.grid_id, m.date, m.lag_7 / 2 AS forecast FROM test m JOIN active n ON n.grid_id = m.grid_id),
+l AS (SELECT t.grid_id, t.date, CASE WHEN a.grid_id IS NOT NULL THEN coalesce(f.forecast, 0) ELSE coalesce(r.rate, 0) END AS forecast
+  FROM test t LEFT JOIN (SELECT DISTINCT grid_id FROM f) a ON a.grid_id = t.grid_id LEFT JOIN rates r ON r.grid_id = t.grid_id
+  LEFT JOIN f ON f.grid_id = t.grid_id AND f.date = t.date)
+SELECT grid_id, date, {r6('forecast', 'arima_forecast')}, {r6('forecast / (max(forecast) OVER () + 1e-12)', 'arima_prob')},
+  CAST(forecast >= 0.1 AS INTEGER) AS arima_pred FROM l)
+""")
+def arima_predict(spark, d):
+    train, test = train_test(spark, d)
+    cells = sampling.select_active_cells(aggregates.cell_activity(train))
+    known = test.join(cells.select("grid_id"), "grid_id").select("grid_id", "date", (F.col("lag_7") / 2).alias("forecast"))
+    out = arima.arima_predict(test, known, aggregates.historical_rate(train))
+    return out.select("grid_id", "date", *[(F.round(c, 6) + 0.0).alias(c) for c in ("arima_forecast", "arima_prob")], "arima_pred")
+
+
+def given_forest(spark):
+    """Three small trees as a node table."""
+    at = fixed.MODEL_FEATURES.index
+    split_, leaf = (lambda f, t, a, b: (a, b, at(f), t, 0.0)), (lambda v: (-1, -1, -1, 0.0, v))
+    trees = [
+        [split_("rolling_sum_14", 0.5, 1, 2), split_("lag_7", 0.5, 3, 4), split_("rolling_sum_7", 1.5, 5, 6), leaf(0.0625), leaf(0.25), leaf(0.5), leaf(0.875)],
+        [split_("grid_id_enc", 20.5, 1, 2), split_("temperature", 15.0, 3, 4), leaf(0.75), leaf(0.125), leaf(0.375)],
+        [split_("is_weekend", 0.5, 1, 2), leaf(0.25), split_("month", 6.0, 3, 4), leaf(0.5), leaf(1.0)],
+    ]
+    rows = [(t, i, *node) for t, tree in enumerate(trees) for i, node in enumerate(tree)]
+    return spark.createDataFrame(rows, "tree_id int, id int, left int, right int, feature int, threshold double, value double")
+
+
+@query("rf_predict", f"""
+SELECT * FROM (WITH c AS (SELECT grid_id, row_number() OVER (ORDER BY grid_id) - 1 AS code FROM (SELECT DISTINCT grid_id FROM train)),
+p AS (SELECT t.grid_id, t.date, (
+    CASE WHEN coalesce(rolling_sum_14, 0) <= 0.5 THEN CASE WHEN coalesce(lag_7, 0) <= 0.5 THEN 0.0625::DOUBLE ELSE 0.25 END
+      ELSE CASE WHEN coalesce(rolling_sum_7, 0) <= 1.5 THEN 0.5 ELSE 0.875 END END
+    + CASE WHEN coalesce(c.code, -1) <= 20.5 THEN CASE WHEN coalesce(temperature, 0) <= 15 THEN 0.125::DOUBLE ELSE 0.375 END ELSE 0.75 END
+    + CASE WHEN coalesce(is_weekend, 0) <= 0.5 THEN 0.25::DOUBLE ELSE CASE WHEN coalesce(month, 0) <= 6 THEN 0.5 ELSE 1.0 END END) / 3 AS p
+  FROM test t LEFT JOIN c USING (grid_id))
+SELECT grid_id, date, {r6('p', 'rf_prob')}, CAST(p >= 0.5 AS INTEGER) AS rf_pred FROM p)
+""")
+def rf_predict(spark, d):
+    train, test = train_test(spark, d)
+    out = forest.given_forest_predict(test, given_forest(spark), split.cell_codes(train))
+    return out.select("grid_id", "date", (F.round("rf_prob", 6) + 0.0).alias("rf_prob"), "rf_pred")
+
+
 # --- models without a SQL twin (invariants are tested in tests/) --------------------------
 
 
@@ -756,8 +804,8 @@ def arima_grid_forecast(spark, d):
     return arima.arima_grid_forecast(train, sampling.select_active_cells(aggregates.cell_activity(train)), split.dates_of(test))
 
 
-@query("arima_predict")
-def arima_predict(spark, d):
+@query("arima_fit_predict")
+def arima_fit_predict(spark, d):
     train, test = train_test(spark, d)
     return arima.train_and_predict(train, test).select("grid_id", "date", "arima_forecast", "arima_prob", "arima_pred")
 
@@ -768,8 +816,8 @@ def rf_train(spark, d):
     return nodes.groupBy("tree_id").agg(F.count(F.lit(1)).alias("nodes"), F.sum((F.col("left") < 0).cast("int")).alias("leaves"))
 
 
-@query("rf_predict")
-def rf_predict(spark, d):
+@query("rf_fit_predict")
+def rf_fit_predict(spark, d):
     rows = forest.forest_predict(train_test(spark, d)[1], views.fitted(spark, d))
     return rows.select("grid_id", "date", "rf_prob", "rf_pred")
 

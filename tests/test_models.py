@@ -233,3 +233,20 @@ def test_density_without_usable_incidents(spark):
         scores = hotspot.hotspot_kde(train, centroids)
         assert scores.count() == 0
         assert hotspot.hotspot_threshold(train.withColumn(fixed.TARGET, F.lit(0)), scores).first().threshold == 0.5
+
+
+def test_given_forest_equals_the_fitted_model(spark):
+    """Path conditions from the node table of a small fitted forest give the model's own scores, nulls and unknown cells included."""
+    rng = np.random.default_rng(5)
+    rows = [(f"c{i % 9}", *[float(x) for x in rng.integers(0, 6, len(fixed.FEATURES))], int(rng.integers(0, 2))) for i in range(300)]
+    cols = ", ".join(f"{f} double" for f in fixed.FEATURES)
+    df = spark.createDataFrame(rows, f"grid_id string, {cols}, {fixed.TARGET} int")
+    fitted = forest.train_forest(df, trees=4, depth=4, min_leaf=5)
+    extra = [("new", *[None] * len(fixed.FEATURES), None), (None, *rows[0][1:])]
+    asked = df.unionByName(spark.createDataFrame(extra, df.schema))
+    key = ["grid_id", *fixed.FEATURES]
+    want = sorted(map(repr, forest.forest_predict(asked, fitted, 0.5).select(*key, F.round("rf_prob", 9).alias("p"), "rf_pred").collect()))
+    got = forest.given_forest_predict(asked, fitted.nodes, fitted.codes).select(*key, F.round("rf_prob", 9).alias("p"), "rf_pred")
+    assert sorted(map(repr, got.collect())) == want
+    with pytest.raises(ValueError):
+        forest.path_conditions(fitted.nodes.filter("tree_id < 0"), fixed.MODEL_FEATURES)
