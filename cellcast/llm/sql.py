@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from cellcast.llm.license_scan import TEMPLATES, THRESHOLD, needed
-
-_templates = ", ".join(
-    f"('{label}', {sorted(set(notice.split()))}, {needed(set(notice.split()), THRESHOLD)})" for label, notice in TEMPLATES)
 _words = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 LICENSE_SCAN = rf"""
@@ -15,10 +11,25 @@ p AS (SELECT r, unnest(generate_series(2, len(w))) AS i, w FROM d WHERE list_con
 base AS (
   SELECT r, i - 2 AS s, w[i - 1] AS label FROM p WHERE w[i] = 'license' AND w[i - 1] IN ('mit', 'apache')
   UNION ALL SELECT r, i - 3, 'gpl' FROM p WHERE i > 2 AND w[i] = 'license' AND w[i - 1] = 'public' AND w[i - 2] = 'general'),
-templates(label, words, need) AS (VALUES {_templates}),
-b AS (SELECT r, list_distinct({_words.format('line')}) AS w FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)),
-met AS (SELECT r, label, len(list_intersect(b.w, words))::DOUBLE / len(words) AS share
-        FROM b, templates WHERE len(list_intersect(b.w, words)) >= need),
+notices(label, notice) AS (VALUES
+  ('mit', 'released under the mit license'),
+  ('mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files'),
+  ('apache', 'licensed under the apache license version 2 0'),
+  ('gpl', 'this work is licensed under the gnu general public license version 3'),
+  ('gpl', 'you can redistribute it and or modify it under the terms of the gnu general public license'),
+  ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+  ('isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted'),
+  ('mpl', 'this source code form is subject to the terms of the mozilla public license'),
+  ('cc-by-nc', 'licensed under cc by nc 4 0'),
+  ('public-domain', 'this is free and unencumbered software released into the public domain'),
+  ('proprietary', 'all rights reserved')),
+templates AS (SELECT row_number() OVER () AS t, label, list_distinct(string_split(notice, ' ')) AS words,
+    (5 * len(string_split(notice, ' ')) + 3) // 4 AS span FROM notices),
+tw AS (SELECT t, label, span, len(words) AS size, unnest(words) AS word FROM templates),
+x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+h AS (SELECT r, t, label, size, count(DISTINCT word) OVER (PARTITION BY r, t ORDER BY i RANGE BETWEEN CURRENT ROW AND span - 1 FOLLOWING) AS shared
+      FROM x JOIN tw USING (word)),
+met AS (SELECT r, label, max(shared::DOUBLE / size) AS share FROM h WHERE 5 * shared >= 4 * size GROUP BY ALL),
 bl AS (SELECT r, count(*) AS n, min(s) AS a, max(s) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY r),
 al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
        FROM (SELECT r, label FROM base UNION ALL SELECT r, label FROM met) GROUP BY r),

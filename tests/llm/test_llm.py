@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -80,6 +81,58 @@ def test_license_scan_finds_changed_notices(spark):
     assert got == {1: ("mit", 0.8), 2: ("", 0.0), 3: ("apache", 1.0)}
 
 
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that",
+    "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by",
+    "proprietary": "Copyright (c) 2020 Somebody. All Rights Reserved.",
+}
+
+
+@pytest.mark.parametrize("mark", ["# ", " * ", "// ", ""])
+def test_license_scan_finds_wrapped_notices(spark, mark):
+    rng = random.Random(8)
+    code = lambda: prose(rng, rng.randint(0, 700))
+    rows = [(i, code() + "\n" + textwrap.fill(v, 40, initial_indent=mark, subsequent_indent=mark) + "\n" + code())
+            for i, v in enumerate(WRAPPED.values())]
+    rows.append((9, "all of it " + prose(rng, 9) + " rights " + prose(rng, 9) + " reserved"))
+    got = {r.doc_id: r.labels for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {**dict(enumerate(WRAPPED)), 9: ""}
+
+
+def test_license_windows_against_brute_force_and_sql(spark):
+    rng = random.Random(3)
+    vocabulary = sorted({w for _, t in license_scan.TEMPLATES for w in t.split()})
+    texts = []
+    for _ in range(150):
+        words = [rng.choice(vocabulary) if rng.random() < 0.5 else "filler" for _ in range(rng.choice([0, 5, 255, 256, 300, 900]))]
+        for _ in range(rng.randint(0, 3)):
+            notice = [w for w in rng.choice(license_scan.TEMPLATES)[1].split() for w in ([w], [w, "x"], [])[rng.choice([0, 0, 0, 0, 0, 1, 2])]]
+            at = rng.choice([0, len(words), rng.randint(0, len(words))])
+            words[at:at] = notice
+        texts.append((" ", "\n", ", ")[rng.randint(0, 2)].join(words))
+
+    def brute(text):
+        words = re.findall(r"[a-z0-9]+", text)
+        best, labels = 0.0, set()
+        for label, notice in license_scan.TEMPLATES:
+            whole = notice.split()
+            length = -(-len(whole) * 5 // 4)
+            share = max((len(set(words[i:i + length]) & set(whole)) for i in range(len(words))), default=0) / len(set(whole))
+            if share >= 0.8 - 1e-12:
+                best, labels = max(best, share), labels | {label}
+        return best, labels
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    got = rows_of(license_scan.license_scan(docs))
+    assert ordered(got) == ordered(with_sql(docs, sql.LICENSE_SCAN))
+    for doc, _, n_base, _, _, base, labels, score in got:
+        best, want = brute(texts[doc])
+        assert set(filter(None, labels.split(","))) == want | set(filter(None, base.split(",")))
+        assert score == (1.0 if n_base else best)
+
+
 def brute_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines, dups = [], 0
