@@ -9,7 +9,7 @@ from cellcast.plans import tables
 from checks import compare, registry, views
 
 DATA = "/root/testdata"
-MODEL_ONLY = {"arima_grid_forecast", "arima_predict", "rf_train", "rf_predict", "rf_importance", "tree_shap",
+MODEL_ONLY = {"arima_grid_forecast", "arima_fit_predict", "rf_train", "rf_fit_predict", "rf_importance", "tree_shap",
               "explain_predictions", "score_pipeline"}
 
 
