@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cellcast import fixed
 from cellcast.operators.aggregates import cell_totals, normalize_minmax
 from cellcast.operators.grid import scalar
 from cellcast.operators.split import lookup_cell_score
-from cellcast.session import staged
+from cellcast.session import discard, staged
 
-BLOCK = 32  # a pack holds the sources of at most BLOCK x BLOCK grid cells
-PER_KEY = 256  # about so many targets of a tile share one join key
+BLOCK = 32  # a pack holds at most BLOCK x BLOCK grid cells
+TILES = 2  # tiles along one reach
+PARTS = 8  # parts of a pack along one reach
+PER_KEY = 4  # about so many target packs of a tile share one join key
+TOLERANCE = 1e-18  # of one kernel's peak: what all kernels left out may add to a density together
 
 
-def bandwidth(sources: DataFrame) -> DataFrame:
+def bandwidth(sources: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """One row: count, mean, whitening factors, constant and reach of the kernel; none if degenerate.
 
     Covariance is the weighted sample one (n - 1) times Scott's factor n^(-1/6) squared.
@@ -43,73 +50,123 @@ def bandwidth(sources: DataFrame) -> DataFrame:
         (-F.col("uv") / F.sqrt(F.col("vv") * F.col("det"))).alias("b"),
         F.sqrt(1 / F.col("vv")).alias("c"),
         (1 / (F.col("n") * 2 * F.pi() * F.sqrt("det"))).alias("k"),
-        # Beyond this distance all n kernels together add less than 1e-18 of one kernel's peak, which
-        # is below what a double can hold next to it.
-        F.sqrt(2 * F.log(F.col("n") * 1e18)).alias("reach"),
+        # Beyond this distance all n kernels together add less than the tolerance, whose default is below
+        # what a double can hold next to one kernel's peak.
+        F.sqrt(2 * F.log(F.greatest(F.col("n") / tolerance, F.lit(2.0)))).alias("reach"),
     )
 
 
-def _white(df: DataFrame, frame: str = "_k") -> DataFrame:
-    """Add p, q (position in bandwidths) and its tile of one reach per side."""
-    du, dv = F.col("lat") - F.col(f"{frame}.lat"), F.col("lon") - F.col(f"{frame}.lon")
-    df = df.withColumns({
-        "p": F.col(f"{frame}.a") * du + F.col(f"{frame}.b") * dv, "q": F.col(f"{frame}.c") * dv,
-    })
-    return df.withColumns({
-        "tile_p": F.floor(F.col("p") / F.col(f"{frame}.reach")), "tile_q": F.floor(F.col("q") / F.col(f"{frame}.reach")),
-    })
+def _white(df: DataFrame) -> DataFrame:
+    """Add p, q (position in bandwidths) and its tile, by the kernel in ``_k``."""
+    du, dv = F.col("lat") - F.col("_k.lat"), F.col("lon") - F.col("_k.lon")
+    df = df.withColumns({"p": F.col("_k.a") * du + F.col("_k.b") * dv, "q": F.col("_k.c") * dv})
+    return df.withColumns({f"tile_{x}": F.floor(F.col(x) * TILES / F.col("_k.reach")) for x in "pq"})
+
 
+def _packs(white: DataFrame, name: str, *more: Column) -> DataFrame:
+    """One row for each tile and grid block: the rows as an array ``name``, and their bounding box ``name_box``."""
+    blocks = [F.floor(F.col(f"cell_{x}") / BLOCK).alias(f"_{x}") for x in ("row", "col")]
+    box = F.struct(*[f(x).alias(f"{f.__name__}_{x}") for x in "pq" for f in (F.min, F.max)])
+    packed = F.collect_list(F.struct("p", "q", *more))
+    return white.groupBy("tile_p", "tile_q", *blocks).agg(
+        packed.alias(name), box.alias(f"{name}_box"), F.first("_k.k").alias("k"), F.first("_k.reach").alias("reach"))
 
-def _near(tile: str) -> Column:
-    return F.explode(F.array(*[F.col(tile) + d for d in (-1, 0, 1)]))
 
+def _gap(x: str) -> Column:
+    """How far the boxes of targets and sources lie apart along one axis."""
+    t, s = "targets_box", "sources_box"
+    return F.greatest(F.col(f"{t}.min_{x}") - F.col(f"{s}.max_{x}"), F.col(f"{s}.min_{x}") - F.col(f"{t}.max_{x}"), F.lit(0.0))
 
-def kernel_density(targets: DataFrame, sources: DataFrame) -> DataFrame:
-    """Density at each target (grid_id, cell_row, cell_col, lat, lon) from sources (the same plus w).
 
-    Every target needs every source within reach, so the work is inherently their product; what is
-    avoided is planning it as one: sources are packed by grid block (at most BLOCK^2 of them, so a pack
-    is bounded), packs go to those neighbouring tiles that hold targets, targets meet packs by an equi-join
-    on tile and salt, and each row folds a whole pack inside one expression. Pairs are never rows. A tile has
-    as many salts as its own targets need. Tiles one reach wide make the neighbourhood exact to the last bit of a double.
+def _fold(tp, tq, sp, sq, sw, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Kernel sums of one pack of sources at one pack of targets, and how many kernels each target evaluated.
+
+    The sources are parted finely; a part whose box is beyond the reach of a target is not evaluated there.
     """
-    kernel = scalar(bandwidth(sources))
-    packed = (
-        _white(sources.withColumn("_k", kernel))
-        .groupBy("tile_p", "tile_q", F.floor(F.col("cell_row") / BLOCK).alias("_br"), F.floor(F.col("cell_col") / BLOCK).alias("_bc"))
-        .agg(F.collect_list(F.struct("p", "q", F.col("w").cast("double").alias("w"))).alias("pack"))
-    )
-    sent = packed.select("pack", _near("tile_p").alias("tile_p"), "tile_q").select("pack", "tile_p", _near("tile_q").alias("tile_q"))
-    # Targets are small rows with much work each: an explicit count keeps them spread over all cores.
-    tasks = 2 * targets.sparkSession.sparkContext.defaultParallelism
+    total, kernels = np.zeros(len(tp)), np.zeros(len(tp), dtype=np.int64)
+    u, v = np.floor(sp * (PARTS / reach)), np.floor(sq * (PARTS / reach))
+    order = np.lexsort((v, u))
+    sp, sq, sw, u, v = sp[order], sq[order], sw[order], u[order], v[order]
+    cuts = np.flatnonzero((np.diff(u) != 0) | (np.diff(v) != 0)) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(sp)]):
+        x, y = sp[a:b], sq[a:b]
+        dp = np.maximum(np.maximum(x.min() - tp, tp - x.max()), 0)
+        dq = np.maximum(np.maximum(y.min() - tq, tq - y.max()), 0)
+        near = np.flatnonzero(dp * dp + dq * dq <= reach * reach)
+        if len(near):
+            apart = np.square(tp[near, None] - x) + np.square(tq[near, None] - y)
+            total[near] += np.exp(apart * -0.5) @ sw[a:b]
+            kernels[near] += b - a
+    return total, kernels
+
+
+def _fold_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def at(column: pa.ListArray, i: int) -> pa.Array:
+        return column.values[column.offsets[i].as_py():column.offsets[i + 1].as_py()]
+
+    for batch in batches:
+        ids, *numbers = (batch.column(c) for c in ("ids", "tp", "tq", "sp", "sq", "sw"))
+        for i, (k, reach) in enumerate(zip(batch.column("k").to_pylist(), batch.column("reach").to_pylist())):
+            total, kernels = _fold(*[at(c, i).to_numpy(zero_copy_only=False) for c in numbers], reach)
+            yield pa.RecordBatch.from_arrays([at(ids, i), pa.array(k * total), pa.array(kernels)], names=["grid_id", "part", "kernels"])
+
+
+def kernel_parts(targets: DataFrame, sources: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """``grid_id, part, kernels``: what a pack of sources adds to a target, and from how many kernels.
+
+    Targets and sources are packed by tile (half a reach wide) and grid block, so that a pack is bounded. A pack of sources
+    goes to the tiles within its reach that hold targets, meets their packs by an equi-join on tile and salt, and only if the
+    two boxes are within reach; inside, finer parts are pruned for each target. Pairs are never rows. A tile has as many
+    salts as its own packs need.
+    """
+    kernel = scalar(bandwidth(sources, tolerance))
     tile = ["tile_p", "tile_q"]
-    placed = _white(targets.repartition(tasks).withColumn("_k", kernel)).select("grid_id", "p", "q", F.col("_k.k").alias("k"), *tile)
+    to = _packs(_white(targets.withColumn("_k", kernel).filter("_k.k IS NOT NULL")), "targets", F.col("grid_id"))
+    of = _packs(_white(sources.withColumn("_k", kernel).filter("_k.k IS NOT NULL")), "sources", F.col("w").cast("double").alias("w"))
     # One small row per tile with targets.
-    tiles = placed.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PER_KEY).cast("int").alias("salts"))
-    spread = placed.join(tiles, tile).withColumn("salt", F.pmod(F.hash("grid_id"), F.col("salts"))).drop("salts")
-    sent = sent.join(tiles, tile).select("pack", *tile, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    met = spread.join(sent, [*tile, "salt"])
-
-    def weight(s: Column) -> Column:
-        dp, dq = F.col("p") - s["p"], F.col("q") - s["q"]
-        return s["w"] * F.exp((dp * dp + dq * dq) * -0.5)
-
-    folded = met.select("grid_id", (F.col("k") * F.aggregate("pack", F.lit(0.0), lambda acc, s: acc + weight(s))).alias("part"))
-    sums = folded.groupBy("grid_id").agg(F.sum("part").alias("density"))
-    everywhere = targets.withColumn("_k", kernel).filter("_k.k IS NOT NULL").select("grid_id")
-    return everywhere.join(sums, "grid_id", "left").select("grid_id", F.coalesce("density", F.lit(0.0)).alias("density"))
+    tiles = to.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PER_KEY).cast("int").alias("salts"))
+    span = range(-TILES - 1, TILES + 2)
+    steps = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(j).alias("q")) for i in span for j in span
+                      if max(abs(i) - 1, 0) ** 2 + max(abs(j) - 1, 0) ** 2 <= TILES**2])
+    sent = of.drop("k", "reach").withColumn("_step", F.explode(steps)).withColumns({f"tile_{x}": F.col(f"tile_{x}") + F.col(f"_step.{x}") for x in "pq"})
+    sent = sent.join(tiles, tile).select("sources", "sources_box", *tile, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    # Packs are small rows with much work each: an explicit count keeps them spread over all cores.
+    spark = targets.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.hash("_row", "_col"), F.col("salts")).alias("salt")
+    spread = to.join(tiles, tile).select("targets", "targets_box", "k", "reach", *tile, salt).repartition(tasks, *tile, "salt")
+    met = spread.hint("shuffle_hash").join(sent, [*tile, "salt"]).filter(
+        _gap("p") * _gap("p") + _gap("q") * _gap("q") <= F.col("reach") * F.col("reach"))
+    pairs = met.select(F.col("targets.grid_id").alias("ids"), F.col("targets.p").alias("tp"), F.col("targets.q").alias("tq"),
+                       F.col("sources.p").alias("sp"), F.col("sources.q").alias("sq"), F.col("sources.w").alias("sw"), "k", "reach")
+    kind = targets.schema["grid_id"].dataType.simpleString()
+    return pairs.mapInArrow(_fold_pairs, f"grid_id {kind}, part double, kernels bigint")
+
+
+def kernel_density(targets: DataFrame, sources: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """Density at each target (grid_id, cell_row, cell_col, lat, lon) from sources (the same plus w), read several times.
+
+    No rows if the kernel is degenerate; 0 where no source is within reach.
+    """
+    usable = scalar(bandwidth(sources, tolerance).select("k"))
+    everywhere = targets.filter(usable.isNotNull()).select("grid_id", F.lit(0.0).alias("part"))
+    parts = kernel_parts(targets, sources, tolerance).select("grid_id", "part")
+    return everywhere.unionByName(parts).groupBy("grid_id").agg(F.sum("part").alias("density"))
 
 
 def hotspot_kde(train: DataFrame, centroids: DataFrame) -> DataFrame:
     """Min-max scaled density (grid_id, score) of every grid cell; no rows without usable incidents.
 
-    The density, one row per cell, is written when this is called: scaling reads it twice, and the fold runs once.
+    Counts and density, one row per cell each, are written when this is called: both are read several times, and the train
+    rows are folded once.
     """
-    totals = cell_totals(train, centroids).filter("incident_count > 0")
+    totals = staged(cell_totals(train, centroids).filter("incident_count > 0"), "cell-totals")
     position = [F.col("lat_center").alias("lat"), F.col("lon_center").alias("lon")]
     targets = centroids.select("grid_id", "cell_row", "cell_col", *position)
     sources = totals.select("grid_id", "cell_row", "cell_col", *position, F.col("incident_count").alias("w"))
-    return normalize_minmax(staged(kernel_density(targets, sources), "density"), "density", "score").select("grid_id", "score")
+    density = staged(kernel_density(targets, sources), "density")
+    discard(totals)
+    return normalize_minmax(density, "density", "score").select("grid_id", "score")
 
 
 def threshold(i: Column) -> Column:

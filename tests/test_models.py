@@ -225,6 +225,34 @@ def test_density_matches_a_direct_sum(spark):
         assert got[g] == pytest.approx((dens[g] - lo) / (hi - lo + 1e-12), abs=1e-10)
 
 
+def test_density_prunes_by_distance(spark):
+    """Fewer than half of the kernels of whole neighbouring tiles are evaluated, and a tolerance saves more for its own price."""
+    rng = np.random.default_rng(6)
+    cells = [(f"r{r}_c{c}", r, c, 33 + r * 0.01, -84 + c * 0.01) for r in range(0, 96) for c in range(0, 96)]
+    targets = spark.createDataFrame(cells, "grid_id string, cell_row int, cell_col int, lat double, lon double").cache()
+    some = [(*cells[i], int(w)) for i, w in zip(rng.choice(len(cells), 2500, replace=False), rng.integers(50_000, 90_000, 2500))]
+    sources = spark.createDataFrame(some, "grid_id string, cell_row int, cell_col int, lat double, lon double, w bigint").cache()
+    k = hotspot.bandwidth(sources).first()
+
+    def white(rows):
+        lat, lon = (np.array([r[j] for r in rows]) for j in (3, 4))
+        return k.a * (lat - k.lat) + k.b * (lon - k.lon), k.c * (lon - k.lon)
+
+    (tp, tq), (sp, sq) = white(cells), white(some)
+    apart = (tp[:, None] - sp) ** 2 + (tq[:, None] - sq) ** 2
+    tiles = [np.floor(x / k.reach) for x in (tp, tq, sp, sq)]
+    whole = ((abs(tiles[0][:, None] - tiles[2]) <= 1) & (abs(tiles[1][:, None] - tiles[3]) <= 1)).sum()
+    got = hotspot.kernel_parts(targets, sources).agg(F.sum("kernels")).first()[0]
+    assert (apart <= k.reach**2).sum() <= got < whole / 2
+    assert hotspot.kernel_parts(targets, sources, 1e-6).agg(F.sum("kernels")).first()[0] < got
+
+    want = k.k * np.exp(apart * -0.5) @ np.array([r[5] for r in some], float)
+    for tolerance in (hotspot.TOLERANCE, 1e-6):
+        dens = {r.grid_id: r.density for r in hotspot.kernel_density(targets, sources, tolerance).collect()}
+        assert len(dens) == len(cells)
+        assert max(abs(dens[c[0]] - w) for c, w in zip(cells, want)) <= tolerance * k.k + 1e-13 * want.max()
+
+
 def test_density_without_usable_incidents(spark):
     centroids = spark.createDataFrame([(f"r0_c{c}", 0, c, 33.0, -84.0 + c) for c in range(3)],
                                       "grid_id string, cell_row int, cell_col int, lat_center double, lon_center double")
