@@ -2,7 +2,8 @@
 
 A plain window without partitions would pull every distinct score into one task. Here the distinct
 scores are cut into buckets of about equal count (a bounded sketch finds the cut points, exactness does
-not depend on them), each bucket runs its own window, and bucket totals supply the offsets.
+not depend on them), buckets that are still large are cut once more in the same way, each bucket runs its own
+window, and bucket totals supply the offsets.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cellcast.session import staged
 
-CUT_LEVELS = 8  # 2^8 buckets per group
+CUT_LEVELS = 8  # 2^8 buckets per group, and as many again in a bucket that is still large
+BUCKET_ROWS = 1 << 20  # distinct values a bucket may hold before it is cut once more
 
 
 def _bucket(value: Column, cuts: Column) -> Column:
@@ -22,21 +24,34 @@ def _bucket(value: Column, cuts: Column) -> Column:
     )
 
 
-def running_totals(df: DataFrame, groups: list[str], value: str, sums: list[str]) -> DataFrame:
+def _cuts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    ways = 2**CUT_LEVELS
+    return df.groupBy(*keys).agg(F.percentile_approx(value, [i / ways for i in range(1, ways)], 10 * ways).alias("_cuts"))
+
+
+def placed_in_buckets(df: DataFrame, groups: list[str], value: str, sums: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``df`` with ``_bucket``: higher values never have a lower bucket. At most 2^16 buckets a group, by the row count.
+
+    The second cutting reads nothing unless a first bucket holds more than ``bucket_rows`` rows.
+    """
+    # The filter keeps every row; it makes side branches read the same columns as the main one, so that
+    # the shuffle behind ``df`` is shared.
+    every = F.coalesce(*sums).isNotNull() | F.col(value).isNull()
+    placed = _join(df, _cuts(df.filter(every), groups, value), groups).withColumn("_first", _bucket(F.col(value), F.col("_cuts"))).drop("_cuts")
+    keys = [*groups, "_first"]
+    large = placed.filter(every).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > bucket_rows).drop("_n")
+    finer = _cuts(placed.filter(every).join(F.broadcast(large), keys, "left_semi"), keys, value)
+    second = F.when(F.col("_cuts").isNotNull(), _bucket(F.col(value), F.col("_cuts"))).otherwise(0)
+    return _join(placed, finer, keys).withColumn("_bucket", F.col("_first") * 2**CUT_LEVELS + second).drop("_first", "_cuts")
+
+
+def running_totals(df: DataFrame, groups: list[str], value: str, sums: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Per group, totals of ``sums`` over rows with a higher or equal ``value``, as ``cum_<name>``.
 
     ``df`` holds one row per (group, value). Also adds ``next_<name>``: the numbers of the next lower
     value (null on the lowest).
     """
-    ways = 2**CUT_LEVELS
-    # The filter keeps every row; it makes this branch read the same columns as the main one, so that
-    # the shuffle behind ``df`` is shared.
-    used = df.filter(F.coalesce(*sums).isNotNull() | F.col(value).isNull())
-    cuts = used.groupBy(*groups).agg(
-        F.percentile_approx(value, [i / ways for i in range(1, ways)], 10 * ways).alias("_cuts")
-    )
-    # At most one small row per group (a handful of models), whatever the number of scores.
-    placed = _join(df, cuts, groups).withColumn("_bucket", _bucket(F.col(value), F.col("_cuts"))).drop("_cuts")
+    placed = placed_in_buckets(df, groups, value, sums, bucket_rows)
     per_bucket = placed.groupBy(*groups, "_bucket").agg(
         *[F.sum(s).alias(f"_sum_{s}") for s in sums],
         F.max_by(F.struct(*sums), value).alias("_top"),
@@ -55,10 +70,11 @@ def running_totals(df: DataFrame, groups: list[str], value: str, sums: list[str]
 
 
 def _join(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """``small`` has at most 2^levels rows per group of evaluation, a proven bound; hence the broadcast.
+    """``small`` has at most 2^16 short rows per group of evaluation (a handful of models), or 2^8 with 2^8 cut points each,
+    whatever the number of scores: a proven bound; hence the broadcast.
 
-    Every row has its match; the outer join only keeps the optimizer from adding null checks to some
-    branches, which would stop them from sharing one shuffle.
+    The outer join keeps the optimizer from adding null checks to some branches, which would stop them from
+    sharing one shuffle.
     """
     if keys:
         return rows.join(F.broadcast(small), keys, "left")

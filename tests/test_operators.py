@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -216,6 +217,29 @@ def test_running_totals_and_quantiles_against_numpy(spark):
             assert totals[v] == ((values >= v).sum(), counts[i - 1] if i else None)
 
 
+def test_large_buckets_are_cut_once_more(spark):
+    """With a small limit the second cutting is at work: buckets shrink, stay in order, and the totals equal NumPy's."""
+    rng = np.random.default_rng(1)
+    values = {"a": rng.lognormal(sigma=3, size=4000), "b": np.round(rng.normal(size=3000), 2), "c": np.array([1.0])}
+    rows = [(g, float(v)) for g, vs in values.items() for v in vs]
+    steps = spark.createDataFrame(rows, "g string, v double").groupBy("g", "v").agg(F.count("*").alias("n")).cache()
+
+    def buckets(limit):
+        return ranking.placed_in_buckets(steps, ["g"], "v", ["n"], limit).collect()
+
+    sizes = {limit: Counter((r.g, r._bucket) for r in buckets(limit)) for limit in (4, 10_000)}
+    assert max(sizes[4].values()) <= 4 < max(sizes[10_000].values())
+    for g in values:
+        placed = [r._bucket for r in sorted((r for r in buckets(4) if r.g == g), key=lambda r: r.v)]
+        assert placed == sorted(placed)
+    totals = {(r.g, r.v): (r.cum_n, r.next_n) for r in ranking.running_totals(steps, ["g"], "v", ["n"], 4).collect()}
+    for g, vs in values.items():
+        distinct, counts = np.unique(vs, return_counts=True)
+        above = np.cumsum(counts[::-1])[::-1]
+        assert [totals[g, v] for v in distinct] == [(above[i], counts[i - 1] if i else None) for i in range(len(distinct))]
+    assert len(totals) == steps.count()
+
+
 def test_sampling_is_repeatable_and_bounded(spark):
     df = series(spark, range(30))
     first = {r.date for r in sampling.sample_n(df, 10).collect()}
