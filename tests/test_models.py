@@ -278,3 +278,20 @@ def test_given_forest_equals_the_fitted_model(spark):
     assert sorted(map(repr, got.collect())) == want
     with pytest.raises(ValueError):
         forest.path_conditions(fitted.nodes.filter("tree_id < 0"), fixed.MODEL_FEATURES)
+
+
+def test_trees_are_fitted_in_groups_on_any_number_of_cores(spark):
+    rng = np.random.default_rng(8)
+    rows = [(f"c{i % 9}", *[float(x) for x in rng.integers(0, 6, len(fixed.FEATURES))], int(rng.integers(0, 2))) for i in range(300)]
+    cols = ", ".join(f"{f} double" for f in fixed.FEATURES)
+    df = spark.createDataFrame(rows, f"grid_id string, {cols}, {fixed.TARGET} int")
+    fitted = forest.train_forest(df, trees=forest.TREES_PER_FIT + 3, depth=3, min_leaf=5)
+    assert [g.getNumTrees for g in fitted.model.groups] == [forest.TREES_PER_FIT, 3] and fitted.model.getNumTrees == forest.TREES_PER_FIT + 3
+    assert {r.tree_id for r in fitted.nodes.collect()} == set(range(forest.TREES_PER_FIT + 3))
+    assert fitted.model.featureImportances.sum() == pytest.approx(1.0)
+    # The mean over all trees, not over the groups.
+    explained = shapley.explain_forest(forest.forest_scores(df.limit(5).withColumn("date", F.lit("2024-01-01").cast("date")), fitted), fitted).toPandas()
+    total = explained[[f"{f}_shap" for f in fixed.MODEL_FEATURES]].sum(axis=1) + explained.base_value
+    assert total.to_numpy() == pytest.approx(explained.rf_prob.to_numpy(), abs=1e-9)
+    # Parts follow the rows, so rows in few parts are fitted in few tasks, on any cluster.
+    assert fitted.model.transform(forest.feature_rows(df, fitted.codes)).rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
