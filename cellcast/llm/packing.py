@@ -13,6 +13,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ class ChunkEncoder(dict):
     merged by rank: a piece is its bytes and ``WORD_END``, a byte that no text has, for the end-of-word suffix.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 200_000):
         import regex
         import tiktoken
         from tokenizers import Tokenizer
@@ -73,6 +74,12 @@ class ChunkEncoder(dict):
         return b"".join(map(self.__getitem__, CHUNK.findall(text)))
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> ChunkEncoder:
+    """One encoder for all tasks of a worker: the vocabulary is read once, and memory does not grow with the number of tasks."""
+    return ChunkEncoder(path)
+
+
 def ranks_with_ends(path: str) -> dict[bytes, int]:
     """Token bytes to ids of a vocabulary with end-of-word suffixes; single bytes, then their ends, then merges by rank."""
     with open(path, encoding="utf-8") as f:
@@ -94,7 +101,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep
     A null or empty text is the end id alone. Repeated rows stay separate documents.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         end = np.array([END_ID], dtype="<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
         for batch in batches:

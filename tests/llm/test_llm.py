@@ -550,6 +550,11 @@ def test_filter_levels():
     assert (other == 0).mean() > 0.9
 
 
+def test_an_encoder_serves_all_tasks_of_a_worker():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.encoder_of(path) is packing.encoder_of(path)
+
+
 def test_later_rounds_teach_what_is_left():
     rng = np.random.default_rng(2)
     p = np.round(rng.random(5000), 2)
