@@ -3,12 +3,13 @@
 Texts become blocks of word numbers once. Words and bigrams are hashed; the top bits of a hash name a segment. Blocks
 send each segment their distinct hashes with counts as one packed row, the segment adds them up over the corpus and, for
 words, answers every block; so nothing travels word by word. Bigram counts are quantised (level 1 + floor(log2 count)) and
-level j of a bigram is stored as the entries 1 to j of a Bloom filter. The filter has at most ``MAX_BITS`` bits, which bounds
-what is broadcast. Probing goes up the levels until an entry is missing, and the level reached gives the smoothed
-probability ``weight * 2^(level-1) / count(previous word) + (1 - weight) * (count + 1) / (N + V + 1)``.
+level j of a bigram is stored as the entries 1 to j of a Bloom filter. The filter grows with the corpus, by segments, and never
+travels: a segment is made where its counts meet, and answers every block there. Probing goes up the levels until an entry is
+missing, and the level reached gives the smoothed probability
+``weight * 2^(level-1) / count(previous word) + (1 - weight) * (count + 1) / (N + V + 1)``.
 
-If a corpus has more bigrams than the filter holds at ``LEAST_BITS`` bits an entry, each segment leaves out its rarest
-levels of count until they fit: such bigrams fall back to the word's own probability. All words are counted exactly.
+A segment with many entries gets the ``LEAST_BITS`` bits an entry that it needs; no bigram and no level is left out at any size.
+All words are counted exactly.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from cellcast.llm.common import word_hashes, mix, staged, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLOCK_CHARS = 8_000_000
-MAX_BITS = 1 << 29
 BITS_A_TOKEN = 8
 LEAST_BITS = 5
 PROBES = 4
@@ -166,10 +166,6 @@ def levels(counts: np.ndarray) -> np.ndarray:
 def filter_segment(keys: np.ndarray, counts: np.ndarray, seg_bits: int) -> bytes:
     """The bits of one segment."""
     high = levels(counts)
-    least = 1
-    while high[high >= least].sum() * LEAST_BITS > seg_bits and least < 64:
-        least += 1
-    keys, high = keys[high >= least], high[high >= least]
     bits = np.zeros(seg_bits, dtype=bool)
     for level in range(1, int(high.max(initial=0)) + 1):
         for spot in _spots(keys[high >= level], level, seg_bits):
@@ -177,40 +173,53 @@ def filter_segment(keys: np.ndarray, counts: np.ndarray, seg_bits: int) -> bytes
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def bigram_filter(blocks: DataFrame, bits: int, seg_bits: int) -> DataFrame:
-    """``segment, bits``: the Bloom filter of all training bigrams, one row for each segment that has any."""
+def bigram_levels(blocks: DataFrame, bits: int, seg_bits: int) -> DataFrame:
+    """``block, segment, levels``: each segment's answers about a block's distinct bigrams in ascending order, from the Bloom filter
+    of the segment's training bigrams."""
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             lengths = np.array(row["lengths"])
             hashes = np.frombuffer(row["vocabulary"], "<u8")[_unzip(row["words"], "<i4")]
-            own = _doc_bigrams(hashes, lengths)[1][_train(row, lengths)]
-            values, counts = np.unique(own, return_counts=True)
+            values, at = np.unique(_doc_bigrams(hashes, lengths)[1], return_inverse=True)
+            counts = np.bincount(at[_train(row, lengths)], minlength=len(values)).astype("<u4")
             # 40 bits below the segment's own are enough to tell bigrams apart, and 5 bytes travel instead of 8.
             low = _low(values, bits).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            counts = counts.astype("<u4")
             parts = list(_by_segment(values, bits))
             yield pa.RecordBatch.from_pydict({
-                "segment": pa.array([s for s, _ in parts], pa.int64()),
+                "segment": pa.array([s for s, _ in parts], pa.int64()), "block": pa.array([row["block"]] * len(parts), pa.int64()),
                 "keys": pa.array([low[c].tobytes() for _, c in parts], pa.binary()),
                 "counts": pa.array([_zip(counts[c]) for _, c in parts], pa.binary())})
 
-    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def answer(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         raw = np.frombuffer(b"".join(frame["keys"]), np.uint8).reshape(-1, 5)
         wide = np.zeros((len(raw), 8), np.uint8)
         wide[:, :5] = raw
         values, at = np.unique(wide.view("<u8").ravel(), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate([_unzip(c, "<u4") for c in frame.counts]))
-        return pd.DataFrame({"segment": [key[0]], "bits": [filter_segment(values, total, seg_bits)]})
+        level = segment_levels(values, total, seg_bits)
+        cuts = np.cumsum([len(k) // 5 for k in frame["keys"]])[:-1]
+        return pd.DataFrame({"block": frame.block, "segment": key[0], "levels": [_zip(part) for part in np.split(level[at], cuts)]})
+
+    asked = blocks.mapInArrow(ask, "segment bigint, block bigint, keys binary, counts binary")
+    return asked.groupBy("segment").applyInPandas(answer, "block bigint, segment bigint, levels binary")
 
-    asked = blocks.mapInArrow(ask, "segment bigint, keys binary, counts binary")
-    return asked.groupBy("segment").applyInPandas(add, "segment bigint, bits binary")
+
+def segment_levels(keys: np.ndarray, counts: np.ndarray, seg_bits: int) -> np.ndarray:
+    """The level of each key of a segment, by a filter of those with a count: of ``seg_bits`` bits, or as many as its entries need."""
+    known, counts = keys[counts > 0], counts[counts > 0]
+    seg_bits = max(seg_bits, -(-int(levels(counts).sum()) * LEAST_BITS // 8) * 8)
+    made = np.frombuffer(filter_segment(known, counts, seg_bits), np.uint8)
+    return _reached(made, keys, np.zeros(len(keys), dtype=np.uint64), seg_bits).astype(np.uint8)
 
 
 def probe(filter_: np.ndarray, hashes: np.ndarray, bits: int, seg_bits: int) -> np.ndarray:
     """The level of each bigram: how many entries in a row are there."""
-    keys, base = _low(hashes, bits), (hashes >> np.uint64(64 - bits)) * np.uint64(seg_bits)
-    out = np.zeros(len(hashes), dtype=np.int64)
-    live, level = np.arange(len(hashes)), 0
+    return _reached(filter_, _low(hashes, bits), (hashes >> np.uint64(64 - bits)) * np.uint64(seg_bits), seg_bits)
+
+
+def _reached(filter_: np.ndarray, keys: np.ndarray, base: np.ndarray, seg_bits: int) -> np.ndarray:
+    out = np.zeros(len(keys), dtype=np.int64)
+    live, level = np.arange(len(keys)), 0
     while len(live) and level < 63:
         level += 1
         there = np.ones(len(live), dtype=np.uint8)
@@ -226,13 +235,12 @@ def power_of_two(n: int) -> int:
     return max(0, int(n - 1).bit_length())
 
 
-def score(docs: DataFrame, weight: float = WEIGHT, max_bits: int = MAX_BITS) -> DataFrame:
+def score(docs: DataFrame, weight: float = WEIGHT) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
     A null or empty text is its end alone. A null ``doc_id`` trains. Repeated rows count as often as they come.
     Without training text every count is 0 and N + V + 1 is 1, so all scores are 0.
     """
-    spark = docs.sparkSession
     blocks = staged(token_blocks(docs), "blocks")
     sums = blocks.agg(F.sum("n_vocabulary"), F.sum("n_train")).first()
     vocabulary, train = (int(x or 0) for x in sums)
@@ -242,13 +250,8 @@ def score(docs: DataFrame, weight: float = WEIGHT, max_bits: int = MAX_BITS) ->
     answers = staged(word_counts(blocks, word_bits), "counts")
     totals = answers.filter("block = -1").agg(F.sum("n"), F.sum("v")).first()
     n, v = (int(x or 0) for x in totals)
-    segments = 1 << pair_bits
-    seg_bits = max(64, min(max_bits, BITS_A_TOKEN * max(train, 1)) // segments // 8 * 8)
-    made = staged(bigram_filter(blocks, pair_bits, seg_bits), "filter")
-    whole = np.zeros((segments, seg_bits // 8), dtype=np.uint8)
-    for row in made.toLocalIterator():  # the broadcast: at most max_bits in all, whatever the corpus
-        whole[row["segment"]] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(whole.ravel())
+    seg_bits = max(64, (BITS_A_TOKEN * max(train, 1) >> pair_bits) // 8 * 8)
+    reached = bigram_levels(blocks, pair_bits, seg_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -266,7 +269,8 @@ def score(docs: DataFrame, weight: float = WEIGHT, max_bits: int = MAX_BITS) ->
             # Each training document has one end and so one start.
             end = int(known[np.flatnonzero(values == END)[0]])
             context[first] = end
-            level = probe(shared.value, pairs, pair_bits, seg_bits)
+            by_pair = np.concatenate([_unzip(a["levels"], "u1") for a in sorted(row["reached"], key=lambda a: a["segment"])])
+            level = by_pair[np.unique(pairs, return_inverse=True)[1]].astype(np.int64)
             alone = (c + 1) / (n + (v + 1))
             seen = np.where(level > 0, np.exp2(level - 1.0), 0.0)
             share = np.minimum(seen, context) / np.maximum(context, 1)
@@ -279,5 +283,6 @@ def score(docs: DataFrame, weight: float = WEIGHT, max_bits: int = MAX_BITS) ->
                 "base_score": pa.array(total(np.log10(alone))), "score": pa.array(total(np.log10(p)))})
 
     gathered = answers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("segment", "counts")).alias("answers"))
-    return blocks.join(gathered, "block").mapInArrow(
+    pair_levels = reached.groupBy("block").agg(F.collect_list(F.struct("segment", "levels")).alias("reached"))
+    return blocks.join(gathered, "block").join(pair_levels, "block").mapInArrow(
         run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -550,6 +550,18 @@ def test_filter_levels():
     assert (other == 0).mean() > 0.9
 
 
+def test_no_level_is_left_out_however_many_bigrams_a_segment_has():
+    """Once a crowded segment left out its rarest bigrams, those seen once first, by the size of the corpus."""
+    keys = np.random.default_rng(4).integers(0, 1 << 40, 5000, dtype=np.uint64)
+    keys = np.unique(keys)
+    counts = np.where(np.arange(len(keys)) < 3000, 1 + np.arange(len(keys)) % 4, 0)
+    got = bloom_lm.segment_levels(keys, counts, 64)
+    want = np.where(counts > 0, np.floor(np.log2(np.maximum(counts, 1))) + 1, 0)
+    assert (got >= want).all() and (got == want).mean() > 0.7
+    roomy = bloom_lm.segment_levels(keys, counts, 1 << 17)
+    assert (roomy >= want).all() and (roomy == want).mean() > 0.95
+
+
 def test_an_encoder_serves_all_tasks_of_a_worker():
     path = public_tokenizers.path("word_bpe_49k.json")
     assert packing.encoder_of(path) is packing.encoder_of(path)
