@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,9 @@ TILES = 2  # tiles along one reach
 PARTS = 8  # parts of a pack along one reach
 PER_KEY = 4  # about so many target packs of a tile share one join key
 TOLERANCE = 1e-18  # of one kernel's peak: what all kernels left out may add to a density together
+HELD = 1024  # tiles whose moments a task holds before it passes them on
+STEPS = [(i, j) for i in range(-TILES - 1, TILES + 2) for j in range(-TILES - 1, TILES + 2)  # to tiles that may be within reach
+         if max(abs(i) - 1, 0) ** 2 + max(abs(j) - 1, 0) ** 2 <= TILES**2]
 
 
 def bandwidth(sources: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
@@ -78,6 +82,10 @@ def _gap(x: str) -> Column:
     return F.greatest(F.col(f"{t}.min_{x}") - F.col(f"{s}.max_{x}"), F.col(f"{s}.min_{x}") - F.col(f"{t}.max_{x}"), F.lit(0.0))
 
 
+def _steps() -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("p"), F.lit(j).alias("q")) for i, j in STEPS])
+
+
 def _fold(tp, tq, sp, sq, sw, reach: float) -> tuple[np.ndarray, np.ndarray]:
     """Kernel sums of one pack of sources at one pack of targets, and how many kernels each target evaluated.
 
@@ -114,6 +122,8 @@ def _fold_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def kernel_parts(targets: DataFrame, sources: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """``grid_id, part, kernels``: what a pack of sources adds to a target, and from how many kernels.
 
+    The direct sum: its work grows with targets times sources within reach. ``kernel_density`` takes the fields below instead.
+
     Targets and sources are packed by tile (half a reach wide) and grid block, so that a pack is bounded. A pack of sources
     goes to the tiles within its reach that hold targets, meets their packs by an equi-join on tile and salt, and only if the
     two boxes are within reach; inside, finer parts are pruned for each target. Pairs are never rows. A tile has as many
@@ -125,10 +135,7 @@ def kernel_parts(targets: DataFrame, sources: DataFrame, tolerance: float = TOLE
     of = _packs(_white(sources.withColumn("_k", kernel).filter("_k.k IS NOT NULL")), "sources", F.col("w").cast("double").alias("w"))
     # One small row per tile with targets.
     tiles = to.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PER_KEY).cast("int").alias("salts"))
-    span = range(-TILES - 1, TILES + 2)
-    steps = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(j).alias("q")) for i in span for j in span
-                      if max(abs(i) - 1, 0) ** 2 + max(abs(j) - 1, 0) ** 2 <= TILES**2])
-    sent = of.drop("k", "reach").withColumn("_step", F.explode(steps)).withColumns({f"tile_{x}": F.col(f"tile_{x}") + F.col(f"_step.{x}") for x in "pq"})
+    sent = of.drop("k", "reach").withColumn("_step", F.explode(_steps())).withColumns({f"tile_{x}": F.col(f"tile_{x}") + F.col(f"_step.{x}") for x in "pq"})
     sent = sent.join(tiles, tile).select("sources", "sources_box", *tile, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     # Packs are small rows with much work each: an explicit count keeps them spread over all cores.
     spark = targets.sparkSession
@@ -143,6 +150,139 @@ def kernel_parts(targets: DataFrame, sources: DataFrame, tolerance: float = TOLE
     return pairs.mapInArrow(_fold_pairs, f"grid_id {kind}, part double, kernels bigint")
 
 
+def expansion_order(reach: float) -> int:
+    """Chebyshev nodes a side of a tile at which interpolating a kernel errs by less than 1e-17 of its peak.
+
+    On a side of 2a bandwidths the error of n nodes is at most 2.2 (a / 2)^n / sqrt(n!), from the bound of Hermite functions.
+    """
+    half = reach / TILES / 2
+    n = 8
+    while math.log(2.2) + n * math.log(half / 2) - math.lgamma(n + 1) / 2 > math.log(1e-17):
+        n += 1
+    return n
+
+
+def _nodes(order: int) -> np.ndarray:
+    return np.cos((np.arange(order) + 0.5) * (np.pi / order))
+
+
+def _basis(x: np.ndarray, tile: int, reach: float, order: int) -> np.ndarray:
+    """Each node's polynomial (columns) at positions ``x`` of a tile (rows)."""
+    terms = np.polynomial.chebyshev.chebvander(_nodes(order), order - 1) * (2 / order)
+    terms[:, 0] /= 2
+    return np.polynomial.chebyshev.chebvander(x * (2 * TILES / reach) - (2 * tile + 1), order - 1) @ terms.T
+
+
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    lengths = np.concatenate([[0], np.cumsum([r.size for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate([r.ravel() for r in rows]) if rows else np.zeros(0)))
+
+
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sources -> for each tile of this task, their weights carried to the nodes of the tile."""
+    held: dict[tuple, np.ndarray] = {}
+
+    def passed_on() -> pa.RecordBatch:
+        tiles = [pa.array([key[i] for key in held], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+        return pa.RecordBatch.from_arrays([*tiles, _lists(list(held.values()))], names=["tile_p", "tile_q", "reach", "moments"])
+
+    for batch in batches:
+        u, v, p, q, w, reaches = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile_p", "tile_q", "p", "q", "w", "reach"))
+        order = np.lexsort((v, u))
+        cuts = np.flatnonzero((np.diff(u[order]) != 0) | (np.diff(v[order]) != 0)) + 1
+        for rows in np.split(order, cuts) if len(order) else []:
+            tp, tq, reach = int(u[rows[0]]), int(v[rows[0]]), float(reaches[rows[0]])
+            n = expansion_order(reach)
+            found = _basis(p[rows], tp, reach, n).T @ (w[rows, None] * _basis(q[rows], tq, reach, n))
+            held[tp, tq, reach] = held.get((tp, tq, reach), 0.0) + found
+            if len(held) >= HELD:
+                yield passed_on()
+                held.clear()
+    if held:
+        yield passed_on()
+
+
+def _matrix(lists: pa.ListArray, i: int, order: int) -> np.ndarray:
+    return lists.values[lists.offsets[i].as_py():lists.offsets[i + 1].as_py()].to_numpy(zero_copy_only=False).reshape(order, order)
+
+
+def _added(group: pa.Table) -> pa.Table:
+    """Moments of one tile from several tasks -> one row."""
+    group = group.combine_chunks()
+    lists = group.column("moments").chunk(0)
+    order = expansion_order(group.column("reach")[0].as_py())
+    total = sum(_matrix(lists, i, order) for i in range(len(lists)))
+    return group.slice(0, 1).drop_columns("moments").append_column("moments", _lists([total]))
+
+
+def _field(group: pa.Table) -> pa.Table:
+    """Moments that reached one tile -> the density's values at its nodes, before the kernel's constant.
+
+    The kernel is a product over the axes, so a pair of tiles takes two small matrix products.
+    """
+    group = group.combine_chunks()
+    lists = group.column("moments").chunk(0)
+    reach = group.column("reach")[0].as_py()
+    order = expansion_order(reach)
+    nodes = _nodes(order)
+
+    def kernel(step: int) -> np.ndarray:
+        apart = ((nodes[:, None] - nodes) / 2 + step) * (reach / TILES)
+        return np.exp(apart * apart * -0.5)
+
+    steps = zip(group.column("step_p").to_pylist(), group.column("step_q").to_pylist())
+    total = sum(kernel(i) @ _matrix(lists, row, order) @ kernel(j).T for row, (i, j) in enumerate(steps))
+    return group.slice(0, 1).select(["tile_p", "tile_q", "reach"]).append_column("field", _lists([total]))
+
+
+def _read_fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def at(column: pa.ListArray, i: int) -> pa.Array:
+        return column.values[column.offsets[i].as_py():column.offsets[i + 1].as_py()]
+
+    for batch in batches:
+        ids, p, q, field = (batch.column(c) for c in ("ids", "p", "q", "field"))
+        scalars = zip(*(batch.column(c).to_pylist() for c in ("tile_p", "tile_q", "k", "reach")))
+        for i, (tp, tq, k, reach) in enumerate(scalars):
+            n = expansion_order(reach)
+            x, y = (at(c, i).to_numpy(zero_copy_only=False) for c in (p, q))
+            values = ((_basis(x, tp, reach, n) @ _matrix(field, i, n)) * _basis(y, tq, reach, n)).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([at(ids, i), pa.array(k * np.maximum(values, 0.0))], names=["grid_id", "part"])
+
+
+def kernel_fields(targets: DataFrame, sources: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """``grid_id, part``: the density at each target that has a tile of sources within reach.
+
+    A fast Gauss transform, whose work grows with targets plus sources, not with their pairs: the sources of a tile (half a
+    reach wide) are carried to its Chebyshev nodes, tiles meet by their nodes, and targets are read off the nodes of their tile.
+    The order is such that an interpolated kernel errs by less than 1e-17 of its peak, so that rounding (below 1e-13 of the
+    weight within reach) is what remains. The tiles hold the sources within a few n^(1/6) bandwidths, so there are few of them.
+    """
+    kernel = scalar(bandwidth(sources, tolerance))
+    tile = ["tile_p", "tile_q"]
+    of = _white(sources.withColumn("_k", kernel).filter("_k.k IS NOT NULL")).filter("tile_p IS NOT NULL AND tile_q IS NOT NULL AND w IS NOT NULL")
+    beyond = {f"tile_{x}": F.col(f"tile_{x}") + F.col(f"_step.{x}") for x in "pq"}
+    # Bounded like the tiles of sources, hence the broadcast: most cells of a wide grid are out of reach and are not shuffled.
+    near = of.select(*tile).distinct().withColumn("_step", F.explode(_steps())).withColumns(beyond).select(*tile).distinct()
+    white = _white(targets.withColumn("_k", kernel).filter("_k.k IS NOT NULL")).join(F.broadcast(near), tile, "left_semi")
+    to = _packs(white, "targets", F.col("grid_id"))
+    tiles = to.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PER_KEY).cast("int").alias("salts"))
+
+    rows = of.select(*tile, "p", "q", F.col("w").cast("double").alias("w"), F.col("_k.reach").alias("reach"))
+    schema = "tile_p bigint, tile_q bigint, reach double, {} array<double>"
+    moments = rows.mapInArrow(_moments, schema.format("moments")).groupBy(*tile).applyInArrow(_added, schema.format("moments"))
+    sent = moments.withColumn("_step", F.explode(_steps())).withColumns(beyond).join(F.broadcast(tiles.select(*tile)), tile, "left_semi")
+    sent = sent.select(*tile, "reach", "moments", *[F.col(f"_step.{x}").cast("int").alias(f"step_{x}") for x in "pq"])
+    fields = sent.groupBy(*tile).applyInArrow(_field, schema.format("field"))
+
+    salted = fields.drop("reach").join(tiles, tile).select(*tile, "field", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    salt = F.pmod(F.hash("_row", "_col"), F.col("salts")).alias("salt")
+    spread = to.join(tiles, tile).select(*tile, salt, "targets", "k", "reach")
+    met = spread.join(salted, [*tile, "salt"]).select(
+        *tile, F.col("targets.grid_id").alias("ids"), F.col("targets.p").alias("p"), F.col("targets.q").alias("q"), "field", "k", "reach")
+    kind = targets.schema["grid_id"].dataType.simpleString()
+    return met.mapInArrow(_read_fields, f"grid_id {kind}, part double")
+
+
 def kernel_density(targets: DataFrame, sources: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Density at each target (grid_id, cell_row, cell_col, lat, lon) from sources (the same plus w), read several times.
 
@@ -150,7 +290,7 @@ def kernel_density(targets: DataFrame, sources: DataFrame, tolerance: float = TO
     """
     usable = scalar(bandwidth(sources, tolerance).select("k"))
     everywhere = targets.filter(usable.isNotNull()).select("grid_id", F.lit(0.0).alias("part"))
-    parts = kernel_parts(targets, sources, tolerance).select("grid_id", "part")
+    parts = kernel_fields(targets, sources, tolerance)
     return everywhere.unionByName(parts).groupBy("grid_id").agg(F.sum("part").alias("density"))
 
 

@@ -253,6 +253,40 @@ def test_density_prunes_by_distance(spark):
         assert max(abs(dens[c[0]] - w) for c, w in zip(cells, want)) <= tolerance * k.k + 1e-13 * want.max()
 
 
+def test_density_work_does_not_grow_with_pairs(spark):
+    """Sources and targets meet by the nodes of their tiles only; targets beyond all tiles of sources are not packed."""
+    rng = np.random.default_rng(9)
+    schema = "grid_id string, cell_row int, cell_col int, lat double, lon double"
+    near = [(f"r{r}_c{c}", r, c, 33 + r * 0.01, -84 + c * 0.01 + r * 0.001) for r in range(30) for c in range(30)]
+    far = [(f"far{c}", 9000 + c, 0, 60.0 + c, 40.0) for c in range(20)]
+    targets = spark.createDataFrame(near + far, schema)
+    some = [(*near[i], int(w)) for i, w in zip(rng.choice(len(near), 700, replace=False), rng.integers(1, 900, 700))]
+    sources = spark.createDataFrame(some, schema + ", w bigint")
+    density = hotspot.kernel_density(targets, sources)
+    plan = density._jdf.queryExecution().toString()
+    assert "sources_box" not in plan and "moments" in plan
+    k = hotspot.bandwidth(sources).first()
+    got = {r.grid_id: r.density for r in density.collect()}
+    at = np.array([r[3:5] for r in near + far]) - [k.lat, k.lon]
+    p, q = k.a * at[:, 0] + k.b * at[:, 1], k.c * at[:, 1]
+    place = {r[0]: i for i, r in enumerate(near + far)}
+    from_ = [place[r[0]] for r in some]
+    want = k.k * np.exp(((p[:, None] - p[from_]) ** 2 + (q[:, None] - q[from_]) ** 2) * -0.5) @ np.array([r[5] for r in some], float)
+    assert len(got) == len(place) and all(got[f[0]] == 0 for f in far)
+    assert max(abs(got[g] - want[i]) for g, i in place.items()) <= 1e-13 * want.max()
+    assert {r.grid_id for r in hotspot.kernel_fields(targets, sources).collect()} <= {r[0] for r in near}
+
+
+def test_expansions_hold_at_any_reach():
+    for reach in (1.2, 9.0, 11.0, 37.0):
+        n, side = hotspot.expansion_order(reach), reach / hotspot.TILES
+        t, s = np.linspace(3 * side, 4 * side, 50), np.linspace(3 * side, 4 * side, 41)
+        nodes = (hotspot._nodes(n) + 1) / 2 * side + 3 * side
+        middle = np.exp((nodes[:, None] - nodes) ** 2 * -0.5)
+        got = hotspot._basis(t, 3, reach, n) @ middle @ hotspot._basis(s, 3, reach, n).T
+        assert abs(got - np.exp((t[:, None] - s) ** 2 * -0.5)).max() < 1e-12
+
+
 def test_density_without_usable_incidents(spark):
     centroids = spark.createDataFrame([(f"r0_c{c}", 0, c, 33.0, -84.0 + c) for c in range(3)],
                                       "grid_id string, cell_row int, cell_col int, lat_center double, lon_center double")
