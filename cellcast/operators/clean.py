@@ -167,10 +167,10 @@ def valid_incidents(
     roles = incident_roles(df.columns, **override)
     if not roles["date"]:
         raise ValueError("no incident date column found; name it")
-    out = filter_field_values(df, fields or [], values or [])
+    # Reading a date costs most, so the other text filters come first.
+    out = filter_fire_types(filter_field_values(df, fields or [], values or []), roles["type"])
     out = coerce_coordinates(out, roles["lat"], roles["lon"])
-    out = coerce_event_date(out, roles["date"], formats)
-    return filter_fire_types(filter_valid_coords(out), roles["type"])
+    return filter_valid_coords(coerce_event_date(out, roles["date"], formats))
 
 
 def judged_incidents(

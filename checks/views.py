@@ -17,9 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dealt out before they are read into reports: a file of few row groups has few tasks, and events are narrower."""
+    return table(spark, sf_dir, "events").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident reports as text, with bad dates, bad coordinates, mixed case and repeated reports."""
-    ev = table(spark, sf_dir, "events")
+    ev = events(spark, sf_dir)
     eid, uid = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("int")
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
@@ -46,7 +51,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per event; 15 January is missing."""
-    ev = table(spark, sf_dir, "events")
+    ev = events(spark, sf_dir)
     kinds = {"temperature": "view", "humidity": "click", "precipitation": "signup", "wind": "purchase"}
     day = F.col("ts").cast("date")
     return ev.filter(day != F.lit("2024-01-15").cast("date")).select(
@@ -66,7 +71,7 @@ def _kept(spark: SparkSession, app: str, sf_dir: str, name: str) -> DataFrame:
         rows = raw_weather(spark, sf_dir)
     else:
         return staged(_BUILD[name](spark, sf_dir), name)
-    return staged(rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), name)
+    return staged(rows, name)
 
 
 def kept(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,8 +141,13 @@ def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = kept(spark, sf_dir, "incidents")
+    return tables.located_incidents(raw, only=raw.columns, **CITY)[0]
+
+
 _BUILD.update({
-    "located": lambda spark, d: tables.located_incidents(kept(spark, d, "incidents"), **CITY)[0],
+    "located": located,
     "centroids": lambda spark, d: grid.cell_centroids(cells(spark, d)),
     "scored": scored_test,
     "hotspot": lambda spark, d: hotspot.hotspot_kde(scoring.split_model_table(kept(spark, d, "model"))[0], kept(spark, d, "centroids")),
@@ -145,7 +155,7 @@ _BUILD.update({
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, frame = tables.located_incidents(kept(spark, sf_dir, "incidents"), **CITY)
+    _, frame = tables.located_incidents(kept(spark, sf_dir, "incidents"), only=[], **CITY)
     return tables.grid_cells(frame)
 
 

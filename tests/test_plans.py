@@ -50,6 +50,31 @@ def test_raw_rows_are_parsed_once(spark):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_located_and_cells_parse_raw_rows_once(spark, monkeypatch):
+    """Bounds, extent and rows are read from one staged table of the valid rows, not from the raw ones."""
+    d = f"{DATA}/sf0.001"
+    raw = {f.rsplit("/", 2)[-2] for f in views.kept(spark, d, "incidents").inputFiles()}
+    built = []
+    real = tables.located_incidents
+    monkeypatch.setattr(views.tables, "located_incidents", lambda *a, **k: built.append(real(*a, **k)) or built[-1])
+    views.located(spark, d)
+    views.cells(spark, d)
+    for rows, frame in built:
+        files = {f.rsplit("/", 2)[-2] for df in (rows, frame.extent_row) for f in df.inputFiles()}
+        assert not files & raw and files and all(f.startswith("valid-incidents") for f in files)
+    assert len(built) == 2 and set(views.kept(spark, d, "incidents").columns) <= set(built[0][0].columns)
+
+
+def test_dates_are_read_after_the_other_filters(spark):
+    """A date is read of chosen fire reports only, and events are dealt out before they are read."""
+    d = f"{DATA}/sf0.001"
+    text = clean.valid_incidents(views.kept(spark, d, "incidents"), **views.CITY)._jdf.queryExecution().optimizedPlan().toString()
+    condition = text[text.index("+- Filter"):]
+    assert condition.index("lower(inc_type") < condition.index("gettimestamp")
+    text = plan(views.raw_incidents(spark, d))
+    assert text.index("get_json_object") < text.index("RoundRobinPartitioning") < text.index("FileScan parquet")
+
+
 def test_windows_share_one_exchange_by_cell(spark):
     located = views.kept(spark, f"{DATA}/sf0.01", "located")
     text = plan(daily.build_cell_days(located, clean.clean_weather(views.kept(spark, f"{DATA}/sf0.01", "weather"))))
