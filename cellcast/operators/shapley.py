@@ -22,32 +22,31 @@ from cellcast.session import staged
 
 TREES_PER_TASK = 4
 ROWS_PER_BLOCK = 1024
-CHUNK = 1 << 20  # leaf-row pairs worked on at once
+CHUNK, ROWS_PER_CHUNK = 1 << 14, 128  # leaf-row pairs, and rows, worked on at once: what a core's own cache holds
 PACKED_BYTES = 256 << 20  # up to so many bytes of leaves are broadcast
 
 
 def leaf_games(nodes: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
-    """Value, lower and upper bounds and passing share per feature of every leaf of one tree."""
-    at = nodes.set_index("id")
-    table = {i: row for i, row in zip(at.index, at.itertuples(index=False))}
+    """Value, lower and upper bounds and passing share per feature of every leaf of one tree, level by level."""
+    place = pd.Index(nodes["id"])
+    left, right = (place.get_indexer(nodes[side]) for side in ("left", "right"))
+    feature, threshold, cover, value = (nodes[c].to_numpy() for c in ("feature", "threshold", "cover", "value"))
+    inner = nodes["left"].to_numpy() >= 0
+    at = place.get_indexer([0])
+    low, high, share = np.full((1, width), -np.inf), np.full((1, width), np.inf), np.ones((1, width))
     leaves = []
-    open_nodes = [(0, np.full(width, -np.inf), np.full(width, np.inf), np.ones(width))]
-    while open_nodes:
-        i, low, high, share = open_nodes.pop()
-        node = table[i]
-        if node.left < 0:
-            leaves.append((node.value, low, high, share))
-            continue
-        f = node.feature
-        for child, is_left in ((node.left, True), (node.right, False)):
-            l2, h2, s2 = low.copy(), high.copy(), share.copy()
-            if is_left:
-                h2[f] = min(h2[f], node.threshold)
-            else:
-                l2[f] = max(l2[f], node.threshold)
-            s2[f] *= table[child].cover / node.cover
-            open_nodes.append((child, l2, h2, s2))
-    return tuple(np.array(part) for part in zip(*leaves))
+    while at.size:
+        split = inner[at]
+        leaves.append((value[at[~split]], low[~split], high[~split], share[~split]))
+        at, low, high, share = at[split], low[split], high[split], share[split]
+        row, f, children = np.arange(len(at)), feature[at].astype(int), (left[at], right[at])
+        highs, lows, shares = [high.copy(), high], [low, low.copy()], [share.copy(), share.copy()]
+        highs[0][row, f] = np.minimum(high[row, f], threshold[at])
+        lows[1][row, f] = np.maximum(low[row, f], threshold[at])
+        for child, part in zip(children, shares):
+            part[row, f] *= cover[child] / cover[at]
+        at, low, high, share = (np.concatenate(x) for x in (children, lows, highs, shares))
+    return tuple(np.concatenate(part) for part in zip(*leaves))
 
 
 def contributions(x: np.ndarray, games: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -62,19 +61,27 @@ def contributions(x: np.ndarray, games: tuple[np.ndarray, ...]) -> np.ndarray:
     points, weights = np.polynomial.legendre.leggauss((width + 1) // 2)
     out = np.zeros((len(x), width + 1))
     out[:, width] = (value * share.prod(axis=1)).sum()
-    step = max(1, CHUNK // len(value))
-    for start in range(0, len(x), step):
-        rows = slice(start, start + step)
-        hits = [((x[rows, f, None] > low[:, f]) & (x[rows, f, None] <= high[:, f])).astype(float) for f in used]
-        for t, w in zip((points + 1) / 2, weights / 2):
-            met, unmet = share * (1 - t) + t, share * (1 - t)
-            product = np.broadcast_to(w * value, hits[0].shape).copy() if hits else None
-            for hit, f in zip(hits, used):
-                product *= hit * (met - unmet)[:, f] + unmet[:, f]
-            for hit, f in zip(hits, used):
+    if not used.size:
+        return out
+    leaves = max(1, min(len(value), CHUNK // max(1, min(len(x), ROWS_PER_CHUNK))))
+    for start in range(0, len(x), ROWS_PER_CHUNK):
+        rows = slice(start, start + ROWS_PER_CHUNK)
+        for first in range(0, len(value), leaves):
+            some = slice(first, first + leaves)
+            hits = [((x[rows, f, None] > low[some, f]) & (x[rows, f, None] <= high[some, f])).astype(float) for f in used]
+            part = share[some][:, used]
+            for t, w in zip((points + 1) / 2, weights / 2):
+                met, unmet = part * (1 - t) + t, part * (1 - t)
+                product = np.broadcast_to(w * value[some], hits[0].shape).copy()
+                for hit, more, least in zip(hits, (met - unmet).T, unmet.T):
+                    factor = hit * more
+                    factor += least
+                    product *= factor
                 # (hit - share) / factor: a constant per leaf either way.
-                gain, loss = (1 - share[:, f]) / met[:, f], -share[:, f] / unmet[:, f]
-                out[rows, f] += np.einsum("rl,rl,l->r", product, hit, gain - loss) + product @ loss
+                gain, loss = (1 - part) / met, -part / unmet
+                out[rows, used] += product @ loss
+                for f, hit, change in zip(used, hits, (gain - loss).T):
+                    out[rows, f] += (product * hit) @ change
     return out
 
 

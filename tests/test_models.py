@@ -1,6 +1,7 @@
 """Models without an SQL twin: likelihood, forecasts, forest and Shapley values against brute force."""
 
 import math
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
@@ -445,3 +446,29 @@ def test_rows_beyond_a_task_are_fitted_in_passes(spark, monkeypatch):
     explained = shapley.explain_forest(forest.forest_scores(df.limit(5).withColumn("date", F.lit("2024-01-01").cast("date")), fitted), fitted).toPandas()
     total = explained[[f"{f}_shap" for f in fixed.MODEL_FEATURES]].sum(axis=1) + explained.base_value
     assert total.to_numpy() == pytest.approx(explained.rf_prob.to_numpy(), abs=1e-9)
+
+
+def test_contributions_work_on_pieces_of_leaves_and_rows(monkeypatch):
+    """Large trees and many rows pass through arrays of a bounded size, and the pieces do not show."""
+    rng = np.random.default_rng(12)
+    inner = 2**12 - 1
+    rows = [(i, 2 * i + 1, 2 * i + 2, int(rng.integers(4)), rng.normal(), 0.0) for i in range(inner)]
+    rows += [(i, -1, -1, -1, np.nan, rng.random()) for i in range(inner, 2 * inner + 1)]
+    nodes = pd.DataFrame(rows, columns=["id", "left", "right", "feature", "threshold", "value"]).sample(frac=1, random_state=1)
+    cover = {i: 1.0 + i % 3 for i in range(inner, 2 * inner + 1)}
+    for i in reversed(range(inner)):
+        cover[i] = cover[2 * i + 1] + cover[2 * i + 2]
+    games = shapley.leaf_games(nodes.assign(cover=nodes.id.map(cover)), 4)
+    assert len(games[0]) == inner + 1 and (games[3] <= 1).all() and games[3].prod(axis=1).sum() < inner
+    x = rng.normal(size=(60, 4))
+    tracemalloc.start()
+    got = shapley.contributions(x, games)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6e6
+    monkeypatch.setattr(shapley, "CHUNK", 1 << 30)
+    monkeypatch.setattr(shapley, "ROWS_PER_CHUNK", 1 << 30)
+    assert got == pytest.approx(shapley.contributions(x, games), abs=1e-12)
+    monkeypatch.setattr(shapley, "CHUNK", 1)
+    monkeypatch.setattr(shapley, "ROWS_PER_CHUNK", 7)
+    assert got[:3] == pytest.approx(shapley.contributions(x[:3], games), abs=1e-12)
